@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import decontaminate, fingerprint, html_extract, packing, quality, secrets, sharding, toxicity
+from weftline.llm import decontaminate, fingerprint, html_extract, jaccard_join, packing, quality, secrets, sharding, toxicity
 from weftline.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,7 +48,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_extraction, op2_toxicity, op3_quality, op4_fingerprint, op5_secret_scan, op6_kd_sharding, op8_benchmark_decontamination, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_toxicity, op3_quality, op4_fingerprint, op5_secret_scan, op6_kd_sharding, op7_ngram_jaccard_join, op8_benchmark_decontamination, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
