@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import decontaminate, fingerprint, html_extract, jaccard_join, packing, quality, secrets, sharding, toxicity
+from weftline.llm import decontaminate, fingerprint, html_extract, jaccard_join, packing, quality, secrets, sharding, substring_dedup, toxicity
 from weftline.llm.common import table
 
 
@@ -43,12 +43,28 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_extraction, op2_toxicity, op3_quality, op4_fingerprint, op5_secret_scan, op6_kd_sharding, op7_ngram_jaccard_join, op8_benchmark_decontamination, op10_best_fit_packing)}
+    found = (
+        op1_html_extraction,
+        op2_toxicity,
+        op3_quality,
+        op4_fingerprint,
+        op5_secret_scan,
+        op6_kd_sharding,
+        op7_ngram_jaccard_join,
+        op8_benchmark_decontamination,
+        op9_substring_dedup,
+        op10_best_fit_packing,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
