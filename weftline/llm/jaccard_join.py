@@ -35,6 +35,8 @@ from weftline.llm.common import BROADCAST_ROWS, checkpoint, components, map_batc
 
 CELLS, SLICES = 1 << 22, 128
 RANGES = 64
+#: A set with as many n-grams in a range passes the suffix filter.
+MOST = 32_767
 #: Sketch rows of one slice that are summed in a first round, so that a task sums a bounded number.
 SUMMED = 64
 
@@ -123,14 +125,15 @@ def prefixes(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
             ids.append(doc)
             sizes.append(size)
             firsts.append(own[rank].view(np.int64))
-            ranges.append(np.bincount((own >> np.uint64(7)).astype(np.int64) % RANGES, minlength=RANGES).astype(np.int32))
+            counts = np.bincount((own >> np.uint64(7)).astype(np.int64) % RANGES, minlength=RANGES)
+            ranges.append((counts if counts.max() < MOST else np.full(RANGES, MOST)).astype(np.int16))
         if not ids:
             return None
-        arrays = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(firsts, pa.list_(pa.int64())), pa.array(ranges, pa.list_(pa.int32()))]
+        arrays = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(firsts, pa.list_(pa.int64())), pa.array(ranges, pa.list_(pa.int16()))]
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "prefix", "ranges"])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
-    return map_batches(rows, work, "doc_id bigint, n bigint, prefix array<bigint>, ranges array<int>")
+    return map_batches(rows, work, "doc_id bigint, n bigint, prefix array<bigint>, ranges array<smallint>")
 
 
 def sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
@@ -153,16 +156,20 @@ def filtered(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where((low * 100 >= high * percent) & (reach * (100 + percent) >= least_overlap(F.col("na"), F.col("nb"), percent)))
 
 
-def links(pairs: DataFrame, counts: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose Jaccard similarity reaches the threshold: suffix filter, then intersection."""
+def links(pairs: DataFrame, counts: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose Jaccard similarity reaches the threshold: suffix filter, then intersection.
+
+    Sets are made again from the texts of the documents that are still in a pair, and of no others.
+    """
     for side in ("a", "b"):
         pairs = pairs.join(counts.select(F.col("doc_id").alias(side), F.col("n").alias(f"n{side}"), F.col("ranges").alias(f"r{side}")), side)
-    most = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    pairs = pairs.where(most * (100 + percent) >= least_overlap(F.col("na"), F.col("nb"), percent)).select("a", "b", "na", "nb")
+    most = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.least(x, y).cast("int")), F.lit(0), lambda s, x: s + x)
+    pairs = checkpoint(pairs.where(most * (100 + percent) >= least_overlap(F.col("na"), F.col("nb"), percent)).select("a", "b", "na", "nb"))
+    grams = sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), n)
     for side in ("a", "b"):
         pairs = pairs.join(grams.select(F.col("doc_id").alias(side), F.col("grams").alias(f"g{side}")), side)
     both = F.size(F.array_intersect("ga", "gb"))
-    return pairs.where(both * (100 + percent) >= least_overlap(F.col("na"), F.col("nb"), percent)).select("a", "b")
+    return pairs.where(both * (100 + percent) >= least_overlap(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -171,25 +178,25 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     keyed = scanned.where("slice is null").select("doc_id", "n", "k1", "k2")
     classes = keyed.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     classes = checkpoint(classes)
-    reps = classes.select(F.col("rep").alias("doc_id")).distinct()
+    copies = keyed.join(classes, ["k1", "k2"]).where("doc_id != rep").select("doc_id").distinct()
+    copies = checkpoint(copies.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"))
+    copies = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
     order = rarity(scanned.where("slice is not null").select("slice", "salt", "counts"))
-    firsts = prefixes(docs, order, n, percent).join(reps, "doc_id", "left_semi")
-    firsts = checkpoint(firsts)
+    firsts = checkpoint(prefixes(docs, order, n, percent).join(copies, "doc_id", "left_anti"))
     counts = firsts.select("doc_id", "n", "ranges")
-    grams = firsts.select(F.col("doc_id").alias("rep"), "n", F.posexplode("prefix").alias("at", "gram"))
+    grams = firsts.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "n", F.posexplode("prefix").alias("at", "gram"))
 
+    by_id = Window.partitionBy("gram").orderBy("rep")
+    shared = grams.select("gram", "rep", "n", "at", F.lag("rep").over(by_id).alias("before"), F.lead("rep").over(by_id).alias("after"))
+    shared = checkpoint(shared.where("before is not null or after is not null").select("gram", "rep", "n", "at"))
     near = Window.partitionBy("gram").orderBy("n", "rep")
-    row = F.struct("rep", "n", "at")
-    shared = grams.select("gram", "rep", "n", "at", F.lag(row).over(near).alias("before"), F.first(row).over(near).alias("first"), F.lead("rep").over(near).alias("after"))
-    shared = checkpoint(shared.where("before is not null or after is not null"))
-    met = shared.where("before is not null").select("rep", "n", "at", F.explode(F.array_distinct(F.array("before", "first"))).alias("other")).where("rep != other.rep")
-    met = met.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("other.rep").alias("b"), F.col("other.n").alias("nb"), F.col("other.at").alias("pb"))
-    seeds = filtered(met, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    seeds = checkpoint(seeds)
-    involved = checkpoint(shared.select(F.col("rep").alias("doc_id")).distinct())
-    texts = checkpoint(sets(docs, involved, n))
-    linked = checkpoint(links(seeds, counts, texts, percent))
-    known = checkpoint(components(linked))
+    sides = {"b": "rep", "nb": "n", "pb": "at"}
+    own = [F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa")]
+    before = shared.select(*own, *(F.lag(c).over(near).alias(k) for k, c in sides.items()))
+    first = shared.select(*own, *(F.first(c).over(near).alias(k) for k, c in sides.items()))
+    met = filtered(before.union(first).where("a != b"), percent)
+    seeds = checkpoint(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    known = checkpoint(components(links(seeds, counts, docs, n, percent)))
 
     rows = shared.select("gram", "rep", "n", "at").join(known.select(F.col("node").alias("rep"), "component"), "rep", "left")
     rows = rows.select("gram", "rep", "n", "at", F.coalesce("component", "rep").alias("component"))
@@ -201,7 +208,7 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     crossed = left.join(right, "gram").where("ca != cb and (cb = largest or a < b)")
     rest = filtered(crossed, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = rest.join(seeds, ["a", "b"], "left_anti")
-    more = links(rest, counts, texts, percent)
+    more = links(rest, counts, docs, n, percent)
     stars = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = components(stars.union(more))
 
