@@ -52,15 +52,23 @@ def sigmoid(z: np.ndarray | float) -> np.ndarray:
 
 
 def platt(scores: np.ndarray, y: np.ndarray, weights: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and intercept of a logistic calibration, by Newton's method with a weak prior at (1, 0)."""
-    a, b = 1.0, 0.0
+    """Slope and intercept of a logistic calibration (Platt, 1999): smoothed targets, Newton's method."""
+    y = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
     x = np.stack([scores, np.ones_like(scores)], axis=1)
+    at = np.array([1.0, 0.0])
+
+    def loss(v: np.ndarray) -> float:
+        z = x @ v
+        return float((weights * (np.logaddexp(0, z) - y * z)).sum() + 0.05 * ((v - [1.0, 0.0]) ** 2).sum())
+
     for _ in range(rounds):
-        p = sigmoid(a * scores + b)
-        gradient = x.T @ (weights * (p - y)) + 0.1 * np.array([a - 1.0, b])
+        p = sigmoid(x @ at)
+        gradient = x.T @ (weights * (p - y)) + 0.1 * (at - [1.0, 0.0])
         hessian = (x * (weights * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
         step = np.linalg.solve(hessian, gradient)
-        a, b = a - step[0], b - step[1]
+        while loss(at - step) > loss(at) and np.abs(step).max() > 1e-9:
+            step /= 2
+        at = at - step
         if np.abs(step).max() < 1e-8:
             break
-    return max(float(a), 1e-3), float(b)
+    return max(float(at[0]), 1e-3), float(at[1])

@@ -29,6 +29,8 @@ SLAB = 256 * HALF
 #: Bytes of a text that counts as short.
 SHORT = 120.0
 EPOCHS, BATCH, RATE = 14, 48, 0.01
+#: Batches that a small sample is fitted with at least.
+STEPS = 400
 THRESHOLD = 0.7
 
 
@@ -109,7 +111,8 @@ def fit(texts: list[bytes], y: np.ndarray, weights: np.ndarray, seed: int = 0) -
     second = {k: np.zeros_like(v) for k, v in p.items()}
     kept = np.arange(len(y)) % 5 == 0
     train, step = np.flatnonzero(~kept), 0
-    for epoch in range(EPOCHS):
+    epochs = max(EPOCHS, -(-STEPS * BATCH // len(train)))
+    for epoch in range(epochs):
         rng.shuffle(train)
         for at in range(0, len(train), BATCH):
             gradient = {k: np.zeros_like(v) for k, v in p.items()}
@@ -150,7 +153,7 @@ def fit(texts: list[bytes], y: np.ndarray, weights: np.ndarray, seed: int = 0) -
             gradient["embedding"] = np.einsum("kbf,kef->be", g_tables, p["filters"])
             gradient["filters"] = np.einsum("kbf,be->kef", g_tables, p["embedding"])
             step += 1
-            rate = RATE * (1 - epoch / EPOCHS) + RATE / 20
+            rate = RATE * (1 - epoch / epochs) + RATE / 20
             for k, v in p.items():
                 g = gradient[k] + 1e-4 * v
                 first[k] = 0.9 * first[k] + 0.1 * g
