@@ -28,6 +28,8 @@ TOLERANCE = 1 / 500
 BINS = 4096
 #: Ranks that one task numbers at a time.
 RANKS_A_TASK = 50_000
+#: Parts into which the rows of each large group are dealt to be ranked.
+LEAST_BUCKETS = 128
 HASH_BITS = 31
 
 
@@ -180,7 +182,7 @@ def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
     dealt = light.select("doc_id", "size", "text_crc32", leaf.alias("shard"))
     buckets = max(4, -(-count // (shards * RANKS_A_TASK)))
     whole = rows.join(F.broadcast(named), key, "left_semi")
-    order = ranked(whole, key, ["doc_id"], "rank", max(4, -(-count // RANKS_A_TASK)))
+    order = ranked(whole, key, ["doc_id"], "rank", max(LEAST_BUCKETS, -(-count // RANKS_A_TASK)))
     heavy = order.join(large, key).where("rank >= first and rank < first + n").select("doc_id", "size", "text_crc32", "shard")
     placed = ranked(dealt.union(heavy), ["shard"], ["doc_id", "text_crc32"], "slot", buckets)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
