@@ -5,12 +5,13 @@
 2. Each remaining document nominates phrases of `PHRASE` words by winnowing (Schleimer et al., 2003): of the
    phrases in each window the one with the least hash. Two documents that share a window nominate the same phrase
    in it. Phrases nominated by two documents or more recur; only they, and the documents that nominate them, go on.
-3. In every shard of these documents the recurring phrases are compiled into Aho-Corasick automata of at most
+3. In every shard of these documents the recurring phrases are compiled into Aho-Corasick automata of about
    `AUTOMATON` phrases, and the shard's documents are streamed through, which locates every occurrence, nominated
    or not. A phrase goes to the shards whose documents hold it, so the work grows with the text and not with
    phrases times text.
-4. Windows around the occurrences are confirmed by 128-bit hashes over all documents: a window is removed where
-   its smallest doc_id is smaller than the document's. Hot windows are counted by partial aggregates.
+4. Windows whose least phrase is among these occurrences are confirmed by 128-bit hashes over all documents: a
+   window is removed where its smallest doc_id is smaller than the document's. Counts are partial aggregates, and
+   what is hot is joined by broadcast: values with a 200,000th of all rows or more are 200,000 at most.
 
 Defined cases: a null or empty text has no words; windows are judged on the input; rows that share a doc_id are
 not earlier than each other, and each is judged on its own words; a null doc_id is neither earlier nor later than
@@ -31,20 +32,39 @@ from pyspark.sql import functions as F
 from weftline.llm import wordhash
 from weftline.llm.common import BROADCAST_ROWS, checkpoint, map_batches
 
-WINDOW, PHRASE = 50, 8
+WINDOW, PHRASE = 50, 16
 #: Phrases of one automaton: some 50 MB.
-AUTOMATON = 20_000
-#: Bases of the two window hashes, odd.
-BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+AUTOMATON = 10_000
+#: Rows that a value has at least to be joined by broadcast.
+HOT = 256
+#: Odd bases of the hashes of phrases, and of the two of windows.
+PHRASE_BASE, BASES = 0xD6E8FEB86659FD93, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+def least_phrases(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all phrases, and the place of the least one of each window (the first of equals)."""
+    phrases = wordhash.windows(values, PHRASE, PHRASE_BASE)
+    if len(values) < WINDOW:
+        return phrases, np.empty(0, dtype=np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(phrases, WINDOW - PHRASE + 1).argmin(axis=1)
+    return phrases, least + np.arange(len(least))
 
 
 def nominated(values: np.ndarray) -> np.ndarray:
     """Hashes of the phrases that are least in some window; none for texts shorter than a window."""
     if len(values) < WINDOW:
         return values[:0]
-    phrases = wordhash.runs(values, PHRASE)
-    least = np.lib.stride_tricks.sliding_window_view(phrases, WINDOW - PHRASE + 1).argmin(axis=1)
-    return np.unique(phrases[np.unique(least + np.arange(len(least)))])
+    phrases, least = least_phrases(values)
+    return np.unique(phrases[np.unique(least)])
+
+
+def key_of(sha: str) -> int:
+    """What tells texts apart among rows that share a doc_id."""
+    return int(sha[:15], 16)
+
+
+def sha_of(words: list[bytes]) -> str:
+    return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -55,7 +75,7 @@ def scan(docs: DataFrame) -> DataFrame:
         for text in batch.column(1).to_pylist():
             words = wordhash.split(text)
             sizes.append(len(words))
-            shas.append(hashlib.sha256(b" ".join(words)).hexdigest())
+            shas.append(sha_of(words))
             phrases.append(nominated(wordhash.hashes(words)).view(np.int64) if len(words) >= WINDOW else np.empty(0, np.int64))
         arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(shas, pa.string()), pa.array(phrases, pa.list_(pa.int64()))]
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "sha", "phrases"])
@@ -64,7 +84,7 @@ def scan(docs: DataFrame) -> DataFrame:
     return map_batches(rows, work, "doc_id bigint, n_words bigint, sha string, phrases array<bigint>")
 
 
-def located(texts: list[str], phrases: list[list[tuple[int, str]]]) -> list[np.ndarray]:
+def located(texts: list[str], phrases: list[list[str]]) -> list[np.ndarray]:
     """Character offsets at which any of the phrases starts in each text, by automata over all their phrases.
 
     Texts are words between single spaces, with a space at either end, and so are phrases; a text has to bring
@@ -75,7 +95,7 @@ def located(texts: list[str], phrases: list[list[tuple[int, str]]]) -> list[np.n
     while at < len(texts):
         automaton, held, end = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), set(), at
         while end < len(texts) and (end == at or len(held) < AUTOMATON):
-            for _, phrase in phrases[end]:
+            for phrase in phrases[end]:
                 if phrase not in held:
                     held.add(phrase)
                     automaton.add_word(phrase)
@@ -88,61 +108,58 @@ def located(texts: list[str], phrases: list[list[tuple[int, str]]]) -> list[np.n
 
 
 def windows(docs: DataFrame, recurring: DataFrame) -> DataFrame:
-    """(doc_id, sha, starts, h1, h2): the windows with a recurring phrase of each document in `recurring`."""
+    """(doc_id, key, starts, h1, h2): the windows with a recurring least phrase of each document in `recurring`."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, phrases, starts_of, values_of = [], [], [], []
+        texts, phrases, starts_of, values_of, least_of = [], [], [], [], []
         for text, known in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             words = wordhash.split(text)
             values = wordhash.hashes(words)
             texts.append((b" " + b" ".join(words) + b" ").decode("latin-1"))  # a character for each byte
             sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
             starts = np.concatenate([[0], np.cumsum(sizes)])
-            hits = np.flatnonzero(np.isin(wordhash.runs(values, PHRASE), np.array(known, dtype=np.int64).view(np.uint64)))
-            phrases.append([(int(p), texts[-1][starts[p] : starts[p + PHRASE] + 1]) for p in hits])
+            hashes, least = least_phrases(values)
+            hits = np.flatnonzero(np.isin(hashes, np.array(known, dtype=np.int64).view(np.uint64)))
+            phrases.append([texts[-1][starts[p] : starts[p + PHRASE] + 1] for p in hits])
             starts_of.append(starts)
             values_of.append(values)
+            least_of.append(least)
         out: tuple[list, list, list] = ([], [], [])
-        for offsets, starts, values in zip(located(texts, phrases), starts_of, values_of, strict=True):
-            n = len(values) - WINDOW + 1
-            covered = np.zeros(max(0, n) + 1, dtype=np.int64)
-            if n > 0 and len(offsets):
-                words = np.searchsorted(starts, offsets)
-                np.add.at(covered, np.clip(words - (WINDOW - PHRASE), 0, n), 1)
-                np.add.at(covered, np.clip(words + 1, 0, n), -1)
-            own = np.flatnonzero(np.cumsum(covered)[:-1] > 0)
+        for offsets, starts, values, least in zip(located(texts, phrases), starts_of, values_of, least_of, strict=True):
+            found = np.zeros(len(starts), dtype=bool)
+            found[np.searchsorted(starts, offsets)] = True
+            own = np.flatnonzero(found[least])
             out[0].append(own.astype(np.int32))
             for k, base in enumerate(BASES):
                 out[k + 1].append(wordhash.windows(values, WINDOW, base)[own].view(np.int64))
         kinds = (pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(o, k) for o, k in zip(out, kinds, strict=True))], names=["doc_id", "sha", "starts", "h1", "h2"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(o, k) for o, k in zip(out, kinds, strict=True))], names=["doc_id", "key", "starts", "h1", "h2"])
 
-    rows = with_text(docs, recurring).select("doc_id", "sha", "text", "phrases")
-    return map_batches(rows, work, "doc_id bigint, sha string, starts array<int>, h1 array<bigint>, h2 array<bigint>")
+    rows = with_text(docs, recurring).select("doc_id", "key", "text", "phrases")
+    return map_batches(rows, work, "doc_id bigint, key bigint, starts array<int>, h1 array<bigint>, h2 array<bigint>")
 
 
 def with_text(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """`rows` (doc_id, sha, ...), one for each text, with their words' bytes; the texts of other documents stay put."""
+    """`rows` (doc_id, key, ...), one for each text, with their words' bytes; the texts of other documents stay put."""
     ids = rows.select("doc_id").distinct()
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     if ids.count() <= BROADCAST_ROWS:
         texts = texts.join(F.broadcast(ids), "doc_id", "left_semi")
-    twice = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
     joined = texts.join(rows.hint("shuffle_hash"), "doc_id")
-    if not twice:
+    if not rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
         return joined
 
     def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shas = batch.column(batch.schema.get_field_index("sha")).to_pylist()
+            keys = batch.column(batch.schema.get_field_index("key")).to_pylist()
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array([hashlib.sha256(b" ".join(wordhash.split(t))).hexdigest() == s for t, s in zip(texts, shas, strict=True)], pa.bool_()))
+            yield batch.filter(pa.array([key_of(sha_of(wordhash.split(t))) == k for t, k in zip(texts, keys, strict=True)], pa.bool_()))
 
-    return joined.mapInArrow(same, joined.schema).dropDuplicates(["doc_id", "sha"])
+    return joined.mapInArrow(same, joined.schema).dropDuplicates(["doc_id", "key"])
 
 
 def cut(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """(doc_id, sha, n_removed, kept): what is left where windows start at `starts`."""
+    """(doc_id, key, n_removed, kept): what is left where windows start at `starts`."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, kept = [], []
@@ -155,33 +172,48 @@ def cut(docs: DataFrame, removed: DataFrame) -> DataFrame:
             gone = np.cumsum(step)[:-1] > 0
             counts.append(int(gone.sum()))
             kept.append(b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g).decode("utf-8", "replace"))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "sha", "n_removed", "kept"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "key", "n_removed", "kept"])
+
+    return map_batches(with_text(docs, removed).select("doc_id", "key", "text", "starts"), work, "doc_id bigint, key bigint, n_removed bigint, kept string")
 
-    return map_batches(with_text(docs, removed).select("doc_id", "sha", "text", "starts"), work, "doc_id bigint, sha string, n_removed bigint, kept string")
+
+def joined_back(rows: DataFrame, groups: DataFrame, on: list[str], total: int) -> DataFrame:
+    """`rows` with their group's columns; `groups` has n, the number of its rows, of `total` in all.
+
+    Groups of total / BROADCAST_ROWS rows or more are BROADCAST_ROWS at most, whatever the data: they are broadcast,
+    so that no task has to take all rows of a hot group. The others are joined by shuffle.
+    """
+    least = max(HOT, -(-total // BROADCAST_ROWS))
+    hot = F.broadcast(groups.where(F.col("n") >= least))
+    cold = groups.where(F.col("n") < least)
+    return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(cold, on)).drop("n")
 
 
 def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All documents (doc_id, n_words, sha, whole: lost as a whole), and (doc_id, sha, starts) of repeated windows."""
+    """All documents (doc_id, n_words, sha, whole: lost as a whole), and (doc_id, key, starts) of repeated windows."""
     brief = checkpoint(scan(docs))
     first = checkpoint(brief.where(f"n_words >= {WINDOW}").groupBy("sha").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     judged = brief.join(F.broadcast(first) if first.count() <= BROADCAST_ROWS else first, "sha", "left")
     judged = judged.withColumn("whole", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
-    singles = judged.where("not whole and doc_id is not null").select("doc_id", "sha", "phrases").dropDuplicates(["doc_id", "sha"])
-    phrases = singles.select("doc_id", "sha", F.explode("phrases").alias("phrase"))
-    shared = phrases.groupBy("phrase").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("phrase")
-    recurring = checkpoint(phrases.join(shared, "phrase").groupBy("doc_id", "sha").agg(F.collect_list("phrase").alias("phrases")))
+    key = F.conv(F.substring("sha", 1, 15), 16, 10).cast("bigint").alias("key")
+    singles = judged.where("not whole and doc_id is not null and size(phrases) > 0").select("doc_id", key, "phrases").dropDuplicates(["doc_id", "key"])
+    total = brief.agg(F.sum(F.size("phrases"))).first()[0] or 0
+    phrases = singles.select("doc_id", "key", F.explode("phrases").alias("phrase"))
+    shared = phrases.groupBy("phrase").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("phrase", "n")
+    recurring = checkpoint(joined_back(phrases, shared, ["phrase"], total).groupBy("doc_id", "key").agg(F.collect_list("phrase").alias("phrases")))
     around = checkpoint(windows(docs, recurring))
-    single = around.select("doc_id", "sha", F.explode(F.arrays_zip("starts", "h1", "h2")).alias("w")).select("doc_id", "sha", F.col("w.starts").alias("start"), F.col("w.h1").alias("h1"), F.col("w.h2").alias("h2"))
-    owners = single.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("h1", "h2", "low")
-    later = single.join(owners, ["h1", "h2"]).where("doc_id > low").groupBy("doc_id", "sha").agg(F.collect_list("start").alias("starts"))
-    return judged.select("doc_id", "n_words", "sha", "whole"), checkpoint(later)
+    total = around.agg(F.sum(F.size("starts"))).first()[0] or 0
+    single = around.select("doc_id", "key", F.explode(F.arrays_zip("starts", "h1", "h2")).alias("w")).select("doc_id", "key", F.col("w.starts").alias("start"), F.col("w.h1").alias("h1"), F.col("w.h2").alias("h2"))
+    owners = single.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").drop("high")
+    later = joined_back(single, owners, ["h1", "h2"], total).where("doc_id > low").groupBy("doc_id", "key").agg(F.collect_list("start").alias("starts"))
+    return judged.select("doc_id", "n_words", "sha", "whole", key), checkpoint(later)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of each document."""
     everything, removed = repeats(docs)
-    left = cut(docs, removed).select("doc_id", "sha", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept"))
-    out = everything.join(left, ["doc_id", "sha"], "left")
+    left = cut(docs, removed).select("doc_id", "key", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept"))
+    out = everything.join(left, ["doc_id", "key"], "left")
     empty = F.lit(hashlib.sha256(b"").hexdigest())
     return out.select(
         "doc_id",
