@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import base64
+import hashlib
+import json
+import re
+
+from weftline.llm import secrets as s
+
+
+def der(tag: int, body: bytes) -> bytes:
+    size = len(body)
+    head = bytes([size]) if size < 128 else bytes([0x80 + (size.bit_length() + 7) // 8]) + size.to_bytes((size.bit_length() + 7) // 8, "big")
+    return bytes([tag]) + head + body
+
+
+RSA = der(0x30, b"".join(der(2, n) for n in [b"\0", *[bytes([1 + k]) * 40 for k in range(8)]]))
+EC = der(0x30, der(2, b"\1") + der(4, bytes(range(32))))
+PKCS8 = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2a\x86\x48") + der(5, b"")) + der(4, EC))
+
+
+def b64(data: bytes) -> str:
+    return base64.b64encode(data).decode()
+
+
+def url64(data: bytes) -> str:
+    return base64.urlsafe_b64encode(data).decode().rstrip("=")
+
+
+JWT = ".".join([url64(json.dumps({"alg": "HS256", "typ": "JWT"}).encode()), url64(b'{"sub": "someone"}'), url64(b"signature")])
+
+
+def kinds(text: str) -> list[str]:
+    return [x.split(":")[0] for x in s.listed(s.base_spans(text) + s.confirmed_spans(text)).split(",") if x]
+
+
+def test_base_kinds():
+    text = 'PassWord: "abcdefgh1" token=short api-key=abcdefghi api_key = \'ABCDEFGH/=\' AKIA12345678901X AKIA1234567 ' + "0a" * 16 + " " + "f" * 31
+    want = []
+    for kind, pattern in (("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), ("access", "AKIA[A-Z0-9]+"), ("hex", "[0-9a-f]+")):
+        for m in re.finditer(pattern, text, re.A | (re.I if kind == "assign" else 0)):
+            if len(m[2] if kind == "assign" else m[0]) >= {"assign": 8, "access": 16, "hex": 32}[kind]:
+                want.append((m.start(), ("assign", "access", "hex").index(kind), m.end()))
+    assert sorted(s.base_spans(text)) == sorted(want) and len(want) == 4
+    assert s.base_spans("toKen=abcdefghij paſſword=abcdefghij") == []
+
+
+def test_structures_are_confirmed():
+    assert kinds(f"x {JWT} y") == ["token"]
+    assert kinds(f"x {url64(b'{\"no\": 1}' * 2)}.{url64(b'{}')}.abc") == []
+    for key in (RSA, EC, PKCS8):
+        assert s.is_private_key(key) and not s.is_private_key(key[:-1]) and not s.is_private_key(key + b"x")
+        assert "key64" in kinds(f"k={b64(key)}") and "keyhex" in kinds(f"({key.hex()})")
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\n{b64(RSA)}\n-----END RSA PRIVATE KEY-----"
+    assert kinds(f"a\n{pem}\nb") == ["pem"]
+    assert kinds(pem.replace(b64(RSA), b64(b"not a key at all, only text that is long"))) == []
+    assert kinds(b64(b"the password=correct-horse-battery is in here, see")) == ["hidden64"]
+    assert kinds(b64(b"just some harmless text of about the same size, see")) == []
+
+
+def test_scan_digest_and_redaction(documents):
+    texts = ["clean text", None, "", f"é {JWT}", "é token=abcdefgh " + "ab" * 20, "x" * 300_000 + " secret=abcdefghi"]
+    docs = documents(texts, extra=True)
+    rows = {r.doc_id: r for r in s.digest(s.scan(docs)).collect()}
+    assert [rows[k].spans for k in range(3)] == ["", "", ""] and rows[1].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert rows[4].spans == "assign:2:16,hex:17:57" and (rows[4].n_assign, rows[4].n_hex) == (1, 1)
+    assert rows[4].base_sha256 == hashlib.sha256(rows[4].spans.encode()).hexdigest()
+    assert rows[5].spans == "assign:300001:300017"
+    kept = {r.doc_id: r for r in s.redact(docs).collect()}
+    assert s.redact(docs).columns == docs.columns
+    assert [kept[k].text for k in (0, 1, 2, 4)] == ["clean text", None, "", "é [secret] [secret]"]
+    assert kept[4].n_chars == len(kept[4].text) and kept[1].n_chars is None
+    assert s.digest(s.scan(docs.limit(0))).count() == 0
+    assert s.scan(docs.union(docs)).count() == 12
