@@ -53,3 +53,10 @@ def test_query(spark, documents):
     rows = sorted(h.main_text(pages).collect(), key=str)
     assert sorted((r.page_id, r.text, r.n_chars) for r in rows if r.page_id) == [(1, "", 0), (1, "é x", 3)]
     assert h.main_text(pages.limit(0)).count() == 0
+
+
+def test_regions_by_name(tree):
+    page = f'<div class="page"><div id="main-content"><h2>Head</h2><p>Be.</p><div class="banner"><p>{LONG}</p></div><p>{LONG}</p></div><div class="side"><p>{LONG}</p></div><section id="responses"><p>{LONG}</p></section></div>'
+    assert extract(tree, page).split("\n") == ["Head", "Be.", LONG]
+    page = f'<body class="post"><div class="post-header">Top</div><article><div class="article-header"><h1>T</h1></div><p>{LONG}</p><div class="ad-content">{LONG}</div></article></body>'
+    assert extract(tree, page).split("\n") == ["T", LONG]

@@ -6,7 +6,7 @@ trained on a small labelled table of blocks decides which blocks are main text.
 shuffle; a task holds one Arrow batch.
 
 Defined cases: null or empty html gives an empty text; unclosed, truncated or mismatched markup is read as far
-as it goes; a page without <article> falls back on <main>, then on the density features alone; repeated rows
+as it goes; a page without <article> falls back on <main> or what is named like it, then on density alone; repeated rows
 give repeated rows; other columns of the input are not carried.
 """
 
@@ -40,12 +40,13 @@ NAV, HEADER, FOOTER, ASIDE, FORM, HINT, ARTICLE, MAIN, HIDDEN, LINK, HEADING = (
 TAGS = {"nav": NAV, "menu": NAV, "header": HEADER, "footer": FOOTER, "aside": ASIDE, "dialog": ASIDE, "form": FORM, "fieldset": FORM, "button": FORM, "label": FORM, "article": ARTICLE, "main": MAIN, "a": LINK, "head": HIDDEN, **{f"h{k}": HEADING for k in range(1, 7)}}
 HINTS = (
     (NAV, "nav navbar navigation navigations menu menus breadcrumb breadcrumbs pagination pager toc skip"),
-    (HEADER, "header masthead banner topbar"),
+    (HEADER, "header"),
     (FOOTER, "footer colophon copyright contentinfo legal imprint"),
-    (ASIDE, "aside sidebar sidebars rail widget widgets complementary related recommended teaser teasers trending popular"),
+    (ASIDE, "aside side sidebar sidebars sidenav sidemenu rail widget widgets complementary related recommended teaser teasers trending popular"),
     (FORM, "form forms search searchbox login signin signup newsletter subscribe subscription"),
-    (HINT, "ad ads adv advert adverts advertisement advertisements adsense advertorial sponsor sponsors sponsored promo promos promotion promoted cookie cookies consent gdpr notice notices alert alerts warning disclaimer popup modal overlay comment comments comentarios kommentare commentaires disqus reply replies respond discussion share sharing social toolbar tags"),
+    (HINT, "ad ads adv advert adverts advertisement advertisements adsense advertorial sponsor sponsors sponsored promo promos promotion promoted cookie cookies consent gdpr notice notices alert alerts warning disclaimer popup modal overlay comment comments comentarios kommentare commentaires disqus reply replies respond responses discussion share sharing social toolbar tags masthead banner topbar paywall tooltip"),
     (HIDDEN, "hidden visuallyhidden"),
+    (MAIN, "article articlebody content maincontent main post entry story"),
 )
 NAMED = {word: flag for flag, words in HINTS for word in words.split()}
 FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "page_has_article", "in_article", "in_nav", "in_header", "in_footer", "in_aside", "in_form", "in_hint", "hidden", "heading")
@@ -120,7 +121,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
                         break
                 flags = stack[-1][1] if stack else 0
             own = region(tag, m[4])
-            if own & HEADER and (flags | own) & ARTICLE:  # an article's own heading is content
+            if own & HEADER and flags & (ARTICLE | MAIN):  # an article's own heading is content
                 own &= ~HEADER
             flags |= own
             stack.append((tag, flags))
