@@ -9,36 +9,12 @@ from weftline.operators import blocking, features, metrics, profiling, threshold
 from weftline.operators.models import EntityClassifier, balanced_folds
 from weftline.plans.linker import Linker
 from weftline.sources import tsv
-
-TRAIN = {
-    1: [
-        ("S1-00001", "Apex Logistics Pvt Ltd", "124 MG Road, Indiranagar, Bangalore 560038", "India"),
-        ("S1-00002", "Blue Horizon Tech Solutions Corp", "450 Lexington Ave, Suite 1200, New York, NY 10017", "US"),
-        ("S1-00003", "Singleton Bakery", "12 Pine Street, Seattle, WA 98101", "US"),
-        ("S1-00004", "Kaveri Sweets & Snacks", "Near Bus Stand, Mysore Road, Bangalore", "India"),
-    ],
-    2: [
-        ("S2-00010", "Apex Logistics Private Limited", "124 M.G. Rd, Indira Nagar, Bengaluru", "India"),
-        ("S2-00020", "Blue Horizon Technologies", "450 Lexington Avenue, Ste 1200, NYC", "US"),
-        ("S2-00030", "Random Unrelated Shop", "77 Market St, San Francisco, CA", "US"),
-    ],
-    3: [
-        ("S3-00100", "Apex Logistics", "MG Road, Indiranagar, Bangalore 560038", "India"),
-        ("S3-00200", "Kaveri Sweets", "Opposite KSRTC Bus Stand, Mysore Rd, Bangalore", "India"),
-    ],
-}
-TRUTH = {"S1-00001": ["S2-00010", "S3-00100"], "S1-00002": ["S2-00020"], "S1-00003": [], "S1-00004": ["S3-00200"]}
-
+from weftline.sources.samples import TRUTH, generate
 
 @pytest.fixture(scope="module")
 def folder(tmp_path_factory):
     path = tmp_path_factory.mktemp("sources")
-    for prefix in ("train", "test"):
-        for k, rows in TRAIN.items():
-            lines = ["entity_id\tbusiness_name\tbusiness_address\tcountry"] + ["\t".join(r) for r in rows]
-            (path / f"{prefix}_source{k}.tsv").write_text("\n".join(lines) + "\n")
-    lines = ["source1_entity_id\tmatched_entity_ids"] + [f"{k}\t{','.join(v)}" for k, v in TRUTH.items()]
-    (path / "train_ground_truth.tsv").write_text("\n".join(lines) + "\n")
+    generate(str(path))
     return path
 
 
@@ -217,3 +193,16 @@ def test_stream(spark, loaded, tmp_path):
     link_stream(queries, records.where("src <> 1"), str(tmp_path / "out")).awaitTermination()
     found = spark.read.parquet(str(tmp_path / "out/candidates")).select("s1_id", "target_id", "votes", "rank")
     assert sorted(found.collect()) == sorted(blocking.candidates(records).collect())
+
+
+def test_command_line(spark, folder, tmp_path, capsys, monkeypatch):
+    from weftline.plans import cli
+
+    monkeypatch.chdir(tmp_path)
+    common = ["--train-dir", str(folder), "--test-dir", str(folder), "--out", str(tmp_path / "out")]
+    assert cli.main(["--mode", "eda", *common]) == 0 and cli.main(["--mode", "blocking", *common]) == 0
+    assert cli.main(["--mode", "test", *common]) == 1
+    assert cli.main(["--mode", "full", "--model", "logistic_regression", *common]) == 0
+    assert "4 rows" in capsys.readouterr().out
+    assert cli.main(["--mode", "test", "--test-sample", "2", *common]) == 0
+    assert cli.main(["--mode", "package", *common]) == 0 and (tmp_path / "team.zip").exists()

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from weftline.operators.features import FEATURE_COLUMNS
 
 CV_SPLITS = 5
+#: Entities up to which folds are balanced exactly; a hash leaves so few too uneven, and they fit the driver.
+FEW_GROUPS = 1_000
 #: Models of different folds whose scores are averaged on new pairs.
 EVALUATED = 2
 MOST_WEIGHT = 10.0
@@ -82,8 +84,10 @@ class EntityClassifier:
         Folds are fitted one after another, each on all executors. `pairs` is read once for each fold, so it
         should be stored before.
         """
-        groups = pairs.select("s1_id").distinct().limit(n_splits).count()
+        groups = pairs.select("s1_id").distinct().limit(FEW_GROUPS + 1).count()
         n = max(min(n_splits, groups), 2)
+        if folds is None and groups <= FEW_GROUPS:
+            folds = balanced_folds(pairs, n)
         rows = pairs.withColumn("fold", fold_of(F.col("s1_id"), n)) if folds is None else pairs.join(folds, "s1_id")
         rows = self.assembler.transform(rows.withColumn("label", F.col("label").cast("double"))).select("s1_id", "target_id", "label", "fold", "features")
         counts = {(r.fold, r.label): r["count"] for r in rows.groupBy("fold", "label").count().collect()}

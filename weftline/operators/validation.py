@@ -41,6 +41,7 @@ def check_rows(rows: DataFrame, required: DataFrame, file: str, valid: DataFrame
     needed = required.select(F.col("s1_id").alias("id")).distinct()
     own, other = F.startswith("id", F.lit("S1-")), ~(F.startswith("id", F.lit("S2-")) | F.startswith("id", F.lit("S3-")))
     checks = [
+        (rows.where(F.instr("value", "\ufffd") > 0).select(F.col("no").cast("string").alias("id")), "not_utf8"),
         (rows.where("not has_tab and trim(value) <> ''").select(F.concat_ws(": ", "no", "value").alias("id")), "malformed_row"),
         (good.groupBy(F.col("s1_id").alias("id")).count().where("count > 1"), "duplicate_row"),
         (good.where(F.size("ids") != F.size(F.array_distinct("ids"))).select(F.col("s1_id").alias("id")), "repeated_id"),

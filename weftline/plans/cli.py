@@ -34,6 +34,11 @@ def export(results: DataFrame, out: str) -> None:
 
 def check(spark: SparkSession, matching: str, candidate: str | None, test_dir: str, check_ids: bool) -> int:
     findings = validation.validate(spark, matching, candidate, test_dir, check_ids).collect()
+    for path in (matching, candidate):
+        if path and tsv.exists(spark, path):
+            lines = tsv.numbered_lines(spark, path)
+            n = validation.row_counts(validation.rows_of(lines.where(lines.no > 0))).first()
+            print(f"{path}: {n.n_rows} rows ({n.n_empty} empty, {n.n_filled} non-empty)")
     for f in findings:
         print(f"{f.severity.upper()} {f.file} {f.rule}: {f.n}, e.g. {', '.join(f.examples)}")
     return int(any(f.severity == "error" for f in findings))

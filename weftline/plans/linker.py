@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import json
-import tempfile
-import uuid
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.checkpoints import checkpoint
 from weftline.operators import blocking, metrics, threshold
 from weftline.operators.blocking import Blocker, BlockingConfig
 from weftline.operators.features import pair_features
@@ -21,10 +20,9 @@ TRAIN_CANDIDATES, TEST_CANDIDATES, THRESHOLD = 75, 120, 0.919
 
 
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:
-    """`df` as a parquet table that is written once and read from then on."""
+    """`df` as a parquet table that is written once and read from then on; without a path, as a checkpoint."""
     if path is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-        path = f"{shared}/weftline-{uuid.uuid4().hex}"
+        return checkpoint(df)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
