@@ -95,7 +95,7 @@ def test_filters_never_lose_a_link(monkeypatch, documents, corpus):
     """The sketch, the seeds and the ranges only order and prune: extreme settings give the same result."""
     pairs = list(enumerate(corpus))
     want = near_by_hand(pairs, 3, 90)
-    for name, value in (("SEEDS", 1), ("RANGES", 2)):
+    for name, value in (("SEEDS", 1), ("RANGES", 64)):
         monkeypatch.setattr(j, name, value)
     monkeypatch.setattr(j, "rarity", lambda sketch: np.random.default_rng(0).integers(0, 9, j.CELLS, dtype=np.uint16))
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in j.near_duplicates(documents(pairs)).collect()} == want

@@ -1,17 +1,22 @@
 """N-gram Jaccard self-join: rare-first prefix filtering with length, positional and suffix filters.
 
 1. One pass turns each document into its set of word n-grams (64-bit hashes); equal sets form classes, and only
-   the smallest doc_id of a class goes on. The same pass counts all n-grams in a sketch of `CELLS` counters.
-2. Sets are ordered rare first by the sketch, and each class emits its prefix: the first n - ceil(t n) + 1
-   n-grams. Two sets of Jaccard t or more share an n-gram of their prefixes, whatever the order is; the order
-   only keeps frequent n-grams out. The sketch has a fixed size, so what is broadcast doesn't grow.
-3. Pairs are joined on prefix n-grams and pass the length filter, the positional filter and a suffix filter
-   (the counts of n-grams in `RANGES` ranges of the hash bound the overlap) before the sets are intersected,
-   once for each pair.
-4. Seeds come first: in each n-gram's documents only neighbours by set size and each with the smallest set are
-   joined, which links most of a large group. Then all pairs are joined whose components still differ, taking
-   the rows outside an n-gram's largest component against all of its rows. No link between components is
-   lost, and a group of m near copies costs about m pairs rather than m squared.
+   the smallest doc_id of a class goes on. The same pass counts the n-grams of all documents in a sketch of
+   `CELLS` counters.
+2. Sets are ordered rare first, by their n-grams' counters, and each class emits its prefix: the first
+   n - ceil(t n) + 1 n-grams. Two sets of Jaccard t or more share an n-gram of their prefixes, whatever the order
+   is; the order only keeps frequent n-grams out. The sketch has a fixed size, so what is broadcast doesn't grow;
+   with many n-grams to a counter, those that documents share still stand above the chance level, and prefixes
+   come from the lowest counters.
+3. Pairs are joined on prefix n-grams and pass the length filter, the positional filter (which also counts the
+   n-grams of either prefix that no other document has: they are in the difference for certain) and a suffix
+   filter (the n-grams' hashes fall into `RANGES` ranges, and ranges whose counts differ in parity bound the
+   difference from below) inside the join, before the sets are intersected, once for each pair.
+4. Seeds come first: in each n-gram's documents neighbours by set size meet, and each the one with the fewest
+   n-grams of its own, which of a family of copies is the nearest to all others; each document keeps the `SEEDS`
+   that it meets most often. This links most of a large group. Then all pairs are
+   joined whose components still differ, taking the rows outside an n-gram's largest component against all of
+   its rows. No link between components is lost, and a group of m near copies costs about m pairs, not m squared.
 
 Defined cases: a text with fewer words than n is one n-gram, the whole sequence; a null or empty text, or one
 without words, has the empty set and links with nothing; rows that share a doc_id are one node; a null doc_id
@@ -33,10 +38,10 @@ from pyspark.sql import functions as F
 from weftline.llm import wordhash
 from weftline.llm.common import BROADCAST_ROWS, checkpoint, components, map_batches
 
-CELLS, SLICES = 1 << 22, 128
-RANGES = 64
-#: A set with as many n-grams in a range passes the suffix filter.
-MOST = 32_767
+CELLS, SLICES = 1 << 23, 256
+#: Partners of a document in the first round.
+SEEDS = 3
+RANGES = 512
 #: Sketch rows of one slice that are summed in a first round, so that a task sums a bounded number.
 SUMMED = 64
 
@@ -53,7 +58,7 @@ def shingles(text: bytes | None, n: int) -> np.ndarray:
 
 
 def cell(values: np.ndarray) -> np.ndarray:
-    return (values >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
+    return ((values >> np.uint64(13)) & np.uint64(CELLS - 1)).astype(np.int64)
 
 
 def least_overlap(size_a: Column, size_b: Column, percent: int) -> Column:
@@ -90,7 +95,7 @@ def sets_and_sketch(docs: DataFrame, n: int) -> DataFrame:
 
 
 def rarity(sketch: DataFrame) -> np.ndarray:
-    """For each cell the number of bits of its count: what the documents' n-grams are ordered by."""
+    """Each cell's count, in steps of a sixteenth of its chance deviation: what n-grams are ordered by."""
 
     def summed(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(CELLS // SLICES, dtype=np.uint64)
@@ -100,16 +105,19 @@ def rarity(sketch: DataFrame) -> np.ndarray:
 
     first = sketch.withColumn("wide", F.lit(False)).groupBy("slice", "salt").applyInPandas(summed, "slice int, counts binary")
     last = first.withColumn("wide", F.lit(True)).groupBy("slice").applyInPandas(summed, "slice int, counts binary")
-    out = np.zeros(CELLS, dtype=np.uint8)
     size = CELLS // SLICES
-    for r in last.collect():  # SLICES rows of CELLS / SLICES counters
-        counts = np.frombuffer(zlib.decompress(bytes(r["counts"])), dtype=np.uint64)
-        out[r["slice"] * size : (r["slice"] + 1) * size] = np.ceil(np.log2(counts.astype(float) + 1))
+    parts = {r["slice"]: bytes(r["counts"]) for r in last.collect()}  # SLICES rows of CELLS / SLICES counters
+    mean = sum(float(np.frombuffer(zlib.decompress(p), dtype=np.uint64).sum()) for p in parts.values()) / CELLS
+    step = max(1.0, mean**0.5 / 16)
+    out = np.zeros(CELLS, dtype=np.uint16)
+    for k, part in parts.items():
+        counts = np.frombuffer(zlib.decompress(part), dtype=np.uint64)
+        out[k * size : (k + 1) * size] = np.minimum(counts / step, np.iinfo(np.uint16).max)
     return out
 
 
 def prefixes(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
-    """(doc_id, n, prefix, ranges): the rarest n-grams of each set, and its counts by range of the hash."""
+    """(doc_id, n, prefix, ranges): the rarest n-grams of each set, and the parity of its counts by range of the hash."""
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(order)
 
@@ -121,19 +129,19 @@ def prefixes(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
                 continue
             size = len(own)
             length = size - -(-size * percent // 100) + 1
-            rank = np.lexsort((own, shared.value[cell(own)]))[:length]
+            rank = np.argsort(shared.value[cell(own)], kind="stable")[:length]
             ids.append(doc)
             sizes.append(size)
             firsts.append(own[rank].view(np.int64))
-            counts = np.bincount((own >> np.uint64(7)).astype(np.int64) % RANGES, minlength=RANGES)
-            ranges.append((counts if counts.max() < MOST else np.full(RANGES, MOST)).astype(np.int16))
+            counts = np.bincount((own >> np.uint64(40)).astype(np.int64) % RANGES, minlength=RANGES)
+            ranges.append(np.packbits((counts % 2).astype(np.uint8), bitorder="little").view(np.int64))
         if not ids:
             return None
-        arrays = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(firsts, pa.list_(pa.int64())), pa.array(ranges, pa.list_(pa.int16()))]
+        arrays = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(firsts, pa.list_(pa.int64())), pa.array(ranges, pa.list_(pa.int64()))]
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "prefix", "ranges"])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
-    return map_batches(rows, work, "doc_id bigint, n bigint, prefix array<bigint>, ranges array<smallint>")
+    return map_batches(rows, work, "doc_id bigint, n bigint, prefix array<bigint>, ranges array<bigint>")
 
 
 def sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
@@ -150,10 +158,20 @@ def sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
 
 
 def filtered(pairs: DataFrame, percent: int) -> DataFrame:
-    """Length and positional filter on pairs (a, na, pa, b, nb, pb) that share the n-gram at pa and pb."""
+    """Length and positional filter on pairs (a, na, pa, ua, b, nb, pb, ub) that share the n-gram at pa and pb.
+
+    ua and ub count n-grams that nothing shares; the sets' difference can't be larger than the threshold leaves.
+    """
     low, high = F.least("na", "nb"), F.greatest("na", "nb")
     reach = F.least("pa", "pb") + 1 + F.least(F.col("na") - 1 - F.col("pa"), F.col("nb") - 1 - F.col("pb"))
-    return pairs.where((low * 100 >= high * percent) & (reach * (100 + percent) >= least_overlap(F.col("na"), F.col("nb"), percent)))
+    alone = (F.col("ua") + F.col("ub")) * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
+    return pairs.where((low * 100 >= high * percent) & alone & (reach * (100 + percent) >= least_overlap(F.col("na"), F.col("nb"), percent)))
+
+
+def may_be_close(a: str, b: str, percent: int) -> Column:
+    """The suffix filter on sets of na and nb n-grams with ranges `a` and `b`."""
+    odd = sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(1, RANGES // 64)), F.bit_count(F.get(a, F.lit(0)).bitwiseXOR(F.get(b, F.lit(0)))))
+    return odd * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
 
 
 def links(pairs: DataFrame, counts: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -163,8 +181,7 @@ def links(pairs: DataFrame, counts: DataFrame, docs: DataFrame, n: int, percent:
     """
     for side in ("a", "b"):
         pairs = pairs.join(counts.select(F.col("doc_id").alias(side), F.col("n").alias(f"n{side}"), F.col("ranges").alias(f"r{side}")), side)
-    most = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.least(x, y).cast("int")), F.lit(0), lambda s, x: s + x)
-    pairs = checkpoint(pairs.where(most * (100 + percent) >= least_overlap(F.col("na"), F.col("nb"), percent)).select("a", "b", "na", "nb"))
+    pairs = checkpoint(pairs.where(may_be_close("ra", "rb", percent)).select("a", "b", "na", "nb"))
     grams = sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), n)
     for side in ("a", "b"):
         pairs = pairs.join(grams.select(F.col("doc_id").alias(side), F.col("grams").alias(f"g{side}")), side)
@@ -189,24 +206,30 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     by_id = Window.partitionBy("gram").orderBy("rep")
     shared = grams.select("gram", "rep", "n", "at", F.lag("rep").over(by_id).alias("before"), F.lead("rep").over(by_id).alias("after"))
     shared = checkpoint(shared.where("before is not null or after is not null").select("gram", "rep", "n", "at"))
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    alone = shared.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("met")).select("rep", "n", (length - F.col("met")).alias("u"))
+    shared = checkpoint(shared.join(alone, ["rep", "n"]).select("gram", "rep", "n", "at", "u"))
     near = Window.partitionBy("gram").orderBy("n", "rep")
-    sides = {"b": "rep", "nb": "n", "pb": "at"}
-    own = [F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa")]
+    sides = {"b": "rep", "nb": "n", "pb": "at", "ub": "u"}
+    own = [F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("u").alias("ua")]
     before = shared.select(*own, *(F.lag(c).over(near).alias(k) for k, c in sides.items()))
-    first = shared.select(*own, *(F.first(c).over(near).alias(k) for k, c in sides.items()))
+    least = Window.partitionBy("gram").orderBy("u", "n", "rep")
+    first = shared.select(*own, *(F.first(c).over(least).alias(k) for k, c in sides.items()))
     met = filtered(before.union(first).where("a != b"), percent)
+    most = Window.partitionBy("a").orderBy(F.desc("times"), "b")
+    met = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times")).withColumn("place", F.row_number().over(most)).where(F.col("place") <= SEEDS)
     seeds = checkpoint(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     known = checkpoint(components(links(seeds, counts, docs, n, percent)))
 
-    rows = shared.select("gram", "rep", "n", "at").join(known.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    rows = rows.select("gram", "rep", "n", "at", F.coalesce("component", "rep").alias("component"))
+    rows = shared.join(known.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    rows = rows.select("gram", "rep", "n", "at", "u", F.coalesce("component", "rep").alias("component"))
     sizes = rows.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size"))
     mixed = sizes.groupBy("gram").agg(F.max_by("component", F.struct("size", -F.col("component"))).alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("gram", "largest")
-    open_rows = checkpoint(rows.join(mixed, "gram"))
-    left = open_rows.where("component != largest").select("gram", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("component").alias("ca"))
-    right = open_rows.select("gram", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("component").alias("cb"), "largest")
+    open_rows = checkpoint(rows.join(mixed, "gram").join(counts.select(F.col("doc_id").alias("rep"), "ranges"), "rep"))
+    left = open_rows.where("component != largest").select("gram", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("u").alias("ua"), F.col("component").alias("ca"), F.col("ranges").alias("ra"))
+    right = open_rows.select("gram", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("u").alias("ub"), F.col("component").alias("cb"), F.col("ranges").alias("rb"), "largest")
     crossed = left.join(right, "gram").where("ca != cb and (cb = largest or a < b)")
-    rest = filtered(crossed, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = filtered(crossed, percent).where(may_be_close("ra", "rb", percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = rest.join(seeds, ["a", "b"], "left_anti")
     more = links(rest, counts, docs, n, percent)
     stars = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
