@@ -2,53 +2,42 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from weftline.checkpoints import checkpoint
+
 #: Rows that a driver-side or broadcast structure may hold; beyond it every operator takes its shuffle path.
 BROADCAST_ROWS = 200_000
+#: Rows that a function over Arrow batches turns into Python values at a time.
+BATCH_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder that the session names.
-
-    ``spark.checkpoint.dir`` is read from the session; only where it is unset (tests on one machine) a
-    temporary folder is taken. Spark deletes the files when the result is no longer referenced.
-    """
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
-        if not shared and not context.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="weftline-"))
-    return df.checkpoint(eager=True)
-
-
 def fresh(name: str) -> str:
     """A column name that no input column has."""
     return f"__{name}_{uuid.uuid4().hex[:8]}"
 
 
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType, setup: Callable[[], None] | None = None) -> DataFrame:
-    """Run `work` on each Arrow batch. Memory stays at one batch; a lost task is run again from its input."""
+    """Run `work` on slices of each Arrow batch. Python holds one slice's values; a lost task is run again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if setup:
             setup()
         for batch in batches:
-            out = work(batch)
-            if out is not None and out.num_rows:
-                yield out
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                out = work(batch.slice(at, BATCH_ROWS))
+                if out is not None and out.num_rows:
+                    yield out
 
     return df.mapInArrow(run, schema)
 
@@ -95,7 +84,3 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if now == seen:
             return stars.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
         seen = now
-
-
-def code_points(text: str | Column) -> Column:
-    return F.length(text).cast("long")

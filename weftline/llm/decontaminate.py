@@ -33,7 +33,7 @@ COVERAGE = 0.5
 SHARD_ITEMS = 20_000
 #: Search length from which running Karp-Rabin starts.
 FIRST_LENGTH = 20
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 SEPARATOR = re.compile(r"[\W_]+")
 BASE, MASK = 1_000_003, (1 << 61) - 1
 SCHEMA = "doc_id bigint, item_id bigint, n_tiles int, n_covered int, n_item_words int, coverage double"

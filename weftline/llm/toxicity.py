@@ -39,7 +39,7 @@ THRESHOLD = 0.3
 LEAST_LANGUAGE = 60
 #: Words that pass through the filters at a time.
 SLAB = 1 << 15
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 class Hashes(dict):
