@@ -17,6 +17,7 @@ import struct
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from weftline.llm.common import checkpoint, map_batches, ranked
 
 CAPACITY = 2048
-#: Words of one generation whose ids a worker remembers, about 200 bytes each.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers, about 200 bytes each, and half as many that it has met once.
+REMEMBERED = 250_000
 #: Punctuation that the tokenizer keeps apart from a letter or digit before it (no apostrophe).
 TAIL = ".,;:!?*%$&#|)]}"
 #: Ranks that one task numbers at a time.
@@ -41,8 +42,8 @@ class WordIds(dict):
 
     The tokenizer drops white space and never joins across it, so a text's ids are its words' ids in order. It
     also lowers case and never joins a letter or digit with the punctuation after it, so texts are lowered as a
-    whole and a word's tail is looked up apart from its stem. Words are kept in two generations, of which the
-    older goes when the younger is full.
+    whole and a word's tail is looked up apart from its stem. A word is remembered from its second time on, so the
+    many that come once don't drive out the others.
     """
 
     def __init__(self, path: str) -> None:
@@ -51,21 +52,24 @@ class WordIds(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.old: dict[str, bytes] = {}
+        self.once: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         stem = word.rstrip(TAIL)
         if stem and stem != word and stem[-1].lower().isalnum():
             return self[stem] + self[word[len(stem) :]]
-        ids = self.old.get(word)
-        if ids is None:
-            found = self.tokenizer.encode(word, add_special_tokens=False).ids
-            ids = struct.pack(f"<{len(found)}I", *found)
-        if len(word) <= 64:
+        ids = self.once.pop(word, None)
+        if ids is not None:
             if len(self) >= REMEMBERED:
-                self.old = dict(self)
                 self.clear()
             self[word] = ids
+            return ids
+        found = self.tokenizer.encode(word, add_special_tokens=False).ids
+        ids = struct.pack(f"<{len(found)}I", *found)
+        if len(word) <= 64:
+            if len(self.once) >= REMEMBERED // 2:
+                self.once.clear()
+            self.once[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
@@ -75,15 +79,16 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, words)) + b"\0\0\0\0"
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): every document's ids, cut at multiples of the capacity."""
-    held: list[WordIds] = []
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One memory for all tasks of a worker."""
+    return WordIds(path)
 
-    def setup() -> None:
-        held[:] = [WordIds(tokenizer_path)]
 
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32): every document's ids, cut at multiples of the capacity."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encode, rows = held[0].encode, ([], [], [], [], [])
+        encode, rows = word_ids(tokenizer_path).encode, ([], [], [], [], [])
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             ids = encode(text or "")
             for k, at in enumerate(range(0, len(ids), 4 * capacity)):
@@ -93,7 +98,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), work, SEQUENCE_SCHEMA, setup)
+    return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), work, SEQUENCE_SCHEMA)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
