@@ -130,11 +130,13 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
                 slots.append((length, rank, taken, first, capacity - room))
                 keep(room, first + taken, n - taken)
                 keep(room - length, first, taken)
-            else:
-                taken = -(-left // (capacity // length))  # as many new sequences as the rest of this length fills
-                slots.append((length, rank, taken, opened, 0))
-                keep(capacity - length, opened, taken)
-                opened += taken
+            else:  # as many full new sequences as this length makes, or one for what is left of it
+                layers = capacity // length
+                n = left // layers or 1
+                layers = min(layers, left)
+                slots += [(length, rank + k * n, n, opened, k * length) for k in range(layers)]
+                keep(capacity - layers * length, opened, n)
+                opened, taken = opened + n, layers * n
             rank, left = rank + taken, left - taken
     return slots
 
