@@ -101,6 +101,18 @@ def test_filters_never_lose_a_link(monkeypatch, documents, corpus):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in j.near_duplicates(documents(pairs)).collect()} == want
 
 
+@pytest.mark.parametrize("copies", [1, 40])
+def test_extended_copies_are_linked(documents, prose_of, copies):
+    """A set that nearly holds another one: the added n-grams push shared ones out of the longer set's prefix."""
+    pairs = []
+    for k, more in enumerate((6, 8, 10)):
+        text = prose_of(60 + k, 97)
+        pairs += [(1000 * k + c, text) for c in range(copies)]
+        pairs += [(1000 * k + 500, text + " " + prose_of(80 + k, more, 10**6)), (1000 * k + 600, prose_of(90 + k, more, 10**6) + " " + text)]
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in j.near_duplicates(documents(pairs)).collect()}
+    assert found == near_by_hand(pairs, 3, 90) and {c for _, c in found.values()} == {0, 1000, 2000}
+
+
 def repeated_by_hand(pairs):
     first, words = {}, {}
     for i, t in sorted(pairs, key=lambda p: p[0]):

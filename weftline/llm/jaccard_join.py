@@ -8,12 +8,12 @@
    is; the order only keeps frequent n-grams out. The sketch has a fixed size, so what is broadcast doesn't grow;
    with many n-grams to a counter, those that documents share still stand above the chance level, and prefixes
    come from the lowest counters.
-3. Pairs are joined on prefix n-grams and pass the length filter, the positional filter (which also counts the
-   n-grams of either prefix that no other document has: they are in the difference for certain) and a suffix
-   filter (the n-grams' hashes fall into `RANGES` ranges, and ranges whose counts differ in parity bound the
-   difference from below) inside the join, before the sets are intersected, once for each pair.
+3. Pairs are joined on prefix n-grams and pass the length filter, the positional filter (of the first n-gram that
+   both have: all before it, in either set, are in the difference for certain) and a suffix filter (the n-grams'
+   hashes fall into `RANGES` ranges, and ranges whose counts differ in parity bound the difference from below)
+   inside the join, before the sets are intersected, once for each pair.
 4. Seeds come first: in each n-gram's documents neighbours by set size meet, and each the one with the fewest
-   n-grams of its own, which of a family of copies is the nearest to all others; each document keeps the `SEEDS`
+   n-grams that no other prefix has, which of a family of copies is the nearest to all others; each document keeps the `SEEDS`
    that it meets most often. This links most of a large group. Then all pairs are
    joined whose components still differ, taking the rows outside an n-gram's largest component against all of
    its rows. No link between components is lost, and a group of m near copies costs about m pairs, not m squared.
@@ -158,14 +158,14 @@ def sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
 
 
 def filtered(pairs: DataFrame, percent: int) -> DataFrame:
-    """Length and positional filter on pairs (a, na, pa, ua, b, nb, pb, ub) that share the n-gram at pa and pb.
+    """Length and positional filter on pairs (a, na, pa, b, nb, pb) that share the n-gram at pa and pb.
 
-    ua and ub count n-grams that nothing shares; the sets' difference can't be larger than the threshold leaves.
+    The n-gram is taken for the first that both have, so that nothing before it is shared. Linked sets pass at
+    the one that is; a further one that they share may fail, which loses no pair.
     """
     low, high = F.least("na", "nb"), F.greatest("na", "nb")
-    reach = F.least("pa", "pb") + 1 + F.least(F.col("na") - 1 - F.col("pa"), F.col("nb") - 1 - F.col("pb"))
-    alone = (F.col("ua") + F.col("ub")) * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
-    return pairs.where((low * 100 >= high * percent) & alone & (reach * (100 + percent) >= least_overlap(F.col("na"), F.col("nb"), percent)))
+    reach = 1 + F.least(F.col("na") - 1 - F.col("pa"), F.col("nb") - 1 - F.col("pb"))
+    return pairs.where((low * 100 >= high * percent) & (reach * (100 + percent) >= least_overlap(F.col("na"), F.col("nb"), percent)))
 
 
 def may_be_close(a: str, b: str, percent: int) -> Column:
@@ -210,8 +210,8 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     alone = shared.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("met")).select("rep", "n", (length - F.col("met")).alias("u"))
     shared = checkpoint(shared.join(alone, ["rep", "n"]).select("gram", "rep", "n", "at", "u"))
     near = Window.partitionBy("gram").orderBy("n", "rep")
-    sides = {"b": "rep", "nb": "n", "pb": "at", "ub": "u"}
-    own = [F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("u").alias("ua")]
+    sides = {"b": "rep", "nb": "n", "pb": "at"}
+    own = [F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa")]
     before = shared.select(*own, *(F.lag(c).over(near).alias(k) for k, c in sides.items()))
     least = Window.partitionBy("gram").orderBy("u", "n", "rep")
     first = shared.select(*own, *(F.first(c).over(least).alias(k) for k, c in sides.items()))
@@ -222,12 +222,12 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     known = checkpoint(components(links(seeds, counts, docs, n, percent)))
 
     rows = shared.join(known.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    rows = rows.select("gram", "rep", "n", "at", "u", F.coalesce("component", "rep").alias("component"))
+    rows = rows.select("gram", "rep", "n", "at", F.coalesce("component", "rep").alias("component"))
     sizes = rows.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size"))
     mixed = sizes.groupBy("gram").agg(F.max_by("component", F.struct("size", -F.col("component"))).alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("gram", "largest")
     open_rows = checkpoint(rows.join(mixed, "gram").join(counts.select(F.col("doc_id").alias("rep"), "ranges"), "rep"))
-    left = open_rows.where("component != largest").select("gram", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("u").alias("ua"), F.col("component").alias("ca"), F.col("ranges").alias("ra"))
-    right = open_rows.select("gram", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("u").alias("ub"), F.col("component").alias("cb"), F.col("ranges").alias("rb"), "largest")
+    left = open_rows.where("component != largest").select("gram", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("component").alias("ca"), F.col("ranges").alias("ra"))
+    right = open_rows.select("gram", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("component").alias("cb"), F.col("ranges").alias("rb"), "largest")
     crossed = left.join(right, "gram").where("ca != cb and (cb = largest or a < b)")
     rest = filtered(crossed, percent).where(may_be_close("ra", "rb", percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = rest.join(seeds, ["a", "b"], "left_anti")
