@@ -34,8 +34,9 @@ LEAST_ASSIGN, LEAST_ACCESS = 8, 16
 
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.S)
 TOKEN = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-ANY_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{2}){32,}(?![0-9A-Za-z])")
+#: Candidates from the shortest secret on that can be confirmed: 14 bytes, an assign of five letters, a sign and eight.
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{19,}={0,2}")
+ANY_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{2}){14,}(?![0-9A-Za-z])")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
