@@ -157,6 +157,23 @@ def test_repeated_passages_of_odd_tables(documents, prose_of):
     assert {r.n_removed for r in rows if r.doc_id is None} == {0}
 
 
+@pytest.mark.parametrize("both", [False, True])
+def test_repeated_rows_that_lose_a_passage(documents, prose_of, both):
+    """Of the rows of a doc_id, one distinct text loses a passage, or two do."""
+    a, b = prose_of(1, 80), prose_of(2, 80)
+    t, u, v = "x " + a + " y", prose_of(3, 90), "z " + b
+    short = prose_of(4, 20)
+    rows = [(1, a), (1, b), (2, t), (2, t), (3, t), (3, u), (4, t), (4, short), (5, v), (5, v)] + [(5, a + " q")] * both
+    found = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in d.dedup(documents(rows)).collect())
+    kept = {a: a, b: b, u: u, short: short, v: "z", a + " q": "q"}
+    want = []
+    for i, text in rows:
+        left = ("x y" if i == 2 else "") if text == t else kept[text]
+        size = len(text.split())
+        want.append((i, size, size - len(left.split()), hashlib.sha256(left.encode()).hexdigest()))
+    assert found == sorted(want)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 200)] + [(500, 400), (400, 450), (9, 9), (600, 601), (600, 601)]
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

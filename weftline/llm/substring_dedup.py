@@ -107,7 +107,7 @@ def located(texts: list[str], phrases: list[list[str]]) -> list[np.ndarray]:
     return found
 
 
-def windows(docs: DataFrame, recurring: DataFrame) -> DataFrame:
+def windows(docs: DataFrame, recurring: DataFrame, twice: DataFrame) -> DataFrame:
     """(doc_id, key, starts, h1, h2): the windows with a recurring least phrase of each document in `recurring`."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -135,18 +135,21 @@ def windows(docs: DataFrame, recurring: DataFrame) -> DataFrame:
         kinds = (pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(o, k) for o, k in zip(out, kinds, strict=True))], names=["doc_id", "key", "starts", "h1", "h2"])
 
-    rows = with_text(docs, recurring).select("doc_id", "key", "text", "phrases")
+    rows = with_text(docs, recurring, twice).select("doc_id", "key", "text", "phrases")
     return map_batches(rows, work, "doc_id bigint, key bigint, starts array<int>, h1 array<bigint>, h2 array<bigint>")
 
 
-def with_text(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """`rows` (doc_id, key, ...), one for each text, with their words' bytes; the texts of other documents stay put."""
+def with_text(docs: DataFrame, rows: DataFrame, twice: DataFrame) -> DataFrame:
+    """`rows` (doc_id, key, ...), one for each text, with their words' bytes; the texts of other documents stay put.
+
+    `twice` has the doc_ids that `docs` has more than once: their texts are told apart by key, equal ones taken once.
+    """
     ids = rows.select("doc_id").distinct()
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     if ids.count() <= BROADCAST_ROWS:
         texts = texts.join(F.broadcast(ids), "doc_id", "left_semi")
     joined = texts.join(rows.hint("shuffle_hash"), "doc_id")
-    if not rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+    if not rows.join(twice, "doc_id", "left_semi").limit(1).count():
         return joined
 
     def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +161,7 @@ def with_text(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return joined.mapInArrow(same, joined.schema).dropDuplicates(["doc_id", "key"])
 
 
-def cut(docs: DataFrame, removed: DataFrame) -> DataFrame:
+def cut(docs: DataFrame, removed: DataFrame, twice: DataFrame) -> DataFrame:
     """(doc_id, key, n_removed, kept): what is left where windows start at `starts`."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -174,7 +177,7 @@ def cut(docs: DataFrame, removed: DataFrame) -> DataFrame:
             kept.append(b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g).decode("utf-8", "replace"))
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "key", "n_removed", "kept"])
 
-    return map_batches(with_text(docs, removed).select("doc_id", "key", "text", "starts"), work, "doc_id bigint, key bigint, n_removed bigint, kept string")
+    return map_batches(with_text(docs, removed, twice).select("doc_id", "key", "text", "starts"), work, "doc_id bigint, key bigint, n_removed bigint, kept string")
 
 
 def joined_back(rows: DataFrame, groups: DataFrame, on: list[str], total: int) -> DataFrame:
@@ -189,9 +192,10 @@ def joined_back(rows: DataFrame, groups: DataFrame, on: list[str], total: int) -
     return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(cold, on)).drop("n")
 
 
-def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All documents (doc_id, n_words, sha, whole: lost as a whole), and (doc_id, key, starts) of repeated windows."""
+def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All documents (doc_id, n_words, sha, whole: lost as a whole), (doc_id, key, starts) of repeated windows, and doc_ids of several rows."""
     brief = checkpoint(scan(docs))
+    twice = checkpoint(brief.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))
     first = checkpoint(brief.where(f"n_words >= {WINDOW}").groupBy("sha").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     judged = brief.join(F.broadcast(first) if first.count() <= BROADCAST_ROWS else first, "sha", "left")
     judged = judged.withColumn("whole", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
@@ -201,18 +205,18 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     phrases = singles.select("doc_id", "key", F.explode("phrases").alias("phrase"))
     shared = phrases.groupBy("phrase").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("phrase", "n")
     recurring = checkpoint(joined_back(phrases, shared, ["phrase"], total).groupBy("doc_id", "key").agg(F.collect_list("phrase").alias("phrases")))
-    around = checkpoint(windows(docs, recurring))
+    around = checkpoint(windows(docs, recurring, twice))
     total = around.agg(F.sum(F.size("starts"))).first()[0] or 0
     single = around.select("doc_id", "key", F.explode(F.arrays_zip("starts", "h1", "h2")).alias("w")).select("doc_id", "key", F.col("w.starts").alias("start"), F.col("w.h1").alias("h1"), F.col("w.h2").alias("h2"))
     owners = single.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").drop("high")
     later = joined_back(single, owners, ["h1", "h2"], total).where("doc_id > low").groupBy("doc_id", "key").agg(F.collect_list("start").alias("starts"))
-    return judged.select("doc_id", "n_words", "sha", "whole", key), checkpoint(later)
+    return judged.select("doc_id", "n_words", "sha", "whole", key), checkpoint(later), twice
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of each document."""
-    everything, removed = repeats(docs)
-    left = cut(docs, removed).select("doc_id", "key", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept"))
+    everything, removed, twice = repeats(docs)
+    left = cut(docs, removed, twice).select("doc_id", "key", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept"))
     out = everything.join(left, ["doc_id", "key"], "left")
     empty = F.lit(hashlib.sha256(b"").hexdigest())
     return out.select(
