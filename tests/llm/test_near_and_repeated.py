@@ -141,13 +141,32 @@ def test_repeated_passages_against_all_windows(documents, corpus, prose_of):
 
 
 def test_repeated_passages_by_broadcast_and_small_automata(documents, corpus, monkeypatch):
-    monkeypatch.setattr(d, "HOT", 2)
-    monkeypatch.setattr(d, "BROADCAST_ROWS", 400)
-    monkeypatch.setattr(d, "AUTOMATON", 3)
+    for name, value in (("HOT", 2), ("BROADCAST_ROWS", 400), ("AUTOMATON", 3), ("STRETCH", 2), ("SLICE", 20), ("SLICES", 3)):
+        monkeypatch.setattr(d, name, value)
     pairs = list(enumerate(corpus))
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in d.dedup(documents(pairs)).collect()} == repeated_by_hand(pairs)
 
 
+def test_automata_decide(documents, corpus, monkeypatch):
+    """With automata that know every other phrase, or none, windows stay: nothing else locates them."""
+    docs, by_hand = documents(corpus), repeated_by_hand(list(enumerate(corpus)))
+    whole, compiled = d.compiled, {}
+    for name, kept in (("all", lambda p: True), ("half", lambda p: len(p) % 2 == 0), ("none", lambda p: False)):
+        monkeypatch.setattr(d, "compiled", lambda phrases, kept=kept: whole(["no phrase", *filter(kept, phrases)]))
+        compiled[name] = {r.doc_id: r.n_removed for r in d.dedup(docs).collect()}
+    assert compiled["all"] == {i: v[1] for i, v in by_hand.items()}
+    lost = {name: sum(v < by_hand[i][1] for i, v in found.items()) for name, found in compiled.items()}
+    assert 0 < lost["half"] < lost["none"]
+
+
+def test_long_texts_with_repeated_passages(documents, prose_of):
+    """Passages at both ends and across the slices of a text of 200,000 words, once in a smaller doc_id."""
+    a, b = prose_of(70, 2200), prose_of(71, 60)
+    long = b + " " + prose_of(72, 99_000, 10**6) + " " + a + " " + prose_of(73, 99_000, 10**6) + " " + b
+    rows = {r.doc_id: r.n_removed for r in d.dedup(documents([(1, "x " + a + " y"), (2, long), (3, b), (4, "same " * 100_000), (5, "same " * 60)])).collect()}
+    assert rows == {1: 0, 2: 2200, 3: 60, 4: 0, 5: 60}
+
+
 def test_repeated_passages_of_odd_tables(documents, prose_of):
     assert d.dedup(documents(["a"]).limit(0)).count() == 0
     a, b = prose_of(1, 80), prose_of(2, 80)
