@@ -9,8 +9,8 @@ median is found by histograms over all nodes of a level at once, refined to the
 bounded number of bins in all, reach the driver, and rows find their leaf by one lookup of a node's cut a level.
 
 Documents with equal texts are one point and stay in one shard. Only a group of equal texts that outweighs a leaf
-is split, by rank: it fills as many whole leaves as it can, and what is left of it is a point like any other. So a
-text that makes up a third of all rows fills several shards evenly.
+is split, by rank: it fills as many whole leaves as it can, and what is left of it are points of a TOLERANCE of a
+leaf each. So a text that makes up a third of all rows fills several shards evenly.
 
 The law is `bytes`: sizes near equal. Defined cases: a null text has size 1; an empty table gives no rows;
 repeated rows are dealt each for itself, as are texts that are equal in different rows; a very long text is a point
@@ -202,12 +202,17 @@ def shard(docs: DataFrame, shards: int = 8, target_bytes: int | None = None) ->
     light, heavy = rows, None
     if parts:
         alone = F.broadcast(docs.sparkSession.createDataFrame(parts, "size bigint, text_crc32 bigint, tie bigint, first bigint, n bigint, shard int"))
-        placed = F.broadcast(alone.groupBy(*KEY).agg(F.sum("n").alias("placed")))
-        points = points.join(placed, list(KEY), "left").withColumn("copies", F.col("copies") - F.coalesce("placed", F.lit(0))).where("copies > 0")
-        points = points.withColumn("weight", F.col("size") * F.col("copies"))
+        per = F.greatest(F.floor(F.lit(TOLERANCE * target) / F.col("size")), F.lit(1))
+        placed = F.broadcast(alone.groupBy(*KEY).agg(F.sum("n").alias("placed")).withColumn("per", per))
+        rest = points.join(placed, list(KEY)).withColumn("rest", F.col("copies") - F.col("placed")).where("rest > 0")
+        rest = rest.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("rest") - 1) / F.col("per")))))
+        rest = rest.withColumns({"weight": F.col("size") * F.least("per", F.col("rest") - F.col("piece") * F.col("per")), "tie": F.xxhash64("tie", "piece")})
+        rest = rest.withColumns({"orders": orders(), "last_bits": last_bits()}).select(points.columns)
+        points = points.join(placed, list(KEY), "left_anti").select(points.columns).union(rest)
         order = ranked(rows.join(placed, list(KEY)), list(KEY), ["doc_id"], "rank", max(LEAST_BUCKETS, -(-count // RANKS_A_TASK)))
         heavy = order.join(alone, list(KEY)).where("rank >= first and rank < first + n").select("doc_id", "size", "text_crc32", "shard")
-        light = rows.join(placed, list(KEY), "left_anti").select(rows.columns).union(order.where("rank >= placed").select(rows.columns))
+        rest = order.where("rank >= placed").withColumn("tie", F.xxhash64("tie", F.floor((F.col("rank") - F.col("placed")) / F.col("per"))))
+        light = rows.join(placed, list(KEY), "left_anti").select(rows.columns).union(rest.select(rows.columns))
     levels = grow(points, len(parts), shards, target)
     light = light.withColumns({"node": F.lit(len(parts)), "orders": orders(), "last_bits": last_bits()})
     for cuts in levels:
