@@ -7,6 +7,8 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from weftline.llm import jaccard_join as j
 from weftline.llm import substring_dedup as d
@@ -95,12 +97,21 @@ def test_filters_never_lose_a_link(monkeypatch, documents, corpus):
     """The sketch, the seeds and the ranges only order and prune: extreme settings give the same result."""
     pairs = list(enumerate(corpus))
     want = near_by_hand(pairs, 3, 90)
-    for name, value in (("SEEDS", 1), ("RANGES", 64)):
+    for name, value in (("SEEDS", 1), ("RANGES", 64), ("SPLIT", 2), ("BROADCAST_ROWS", 0)):
         monkeypatch.setattr(j, name, value)
     monkeypatch.setattr(j, "rarity", lambda sketch: np.random.default_rng(0).integers(0, 9, j.CELLS, dtype=np.uint16))
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in j.near_duplicates(documents(pairs)).collect()} == want
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(0, 40)), st.sets(st.integers(0, 40)), st.integers(0, 20))
+def test_suffix_filter_bounds_the_difference(x, y, allowed):
+    a, b = (np.array(sorted(v), dtype=np.uint64) for v in (x, y))
+    found, exact = j.least_difference(a, b, allowed), len(x ^ y)
+    assert found <= exact and (found > allowed) <= (exact > allowed)
+    assert abs(len(x) - len(y)) <= found and j.least_difference(a, b, 99, 12) == exact
+
+
 @pytest.mark.parametrize("copies", [1, 40])
 def test_extended_copies_are_linked(documents, prose_of, copies):
     """A set that nearly holds another one: the added n-grams push shared ones out of the longer set's prefix."""

@@ -14,6 +14,8 @@ from weftline.checkpoints import checkpoint
 
 #: Rows that a driver-side or broadcast structure may hold; beyond it every operator takes its shuffle path.
 BROADCAST_ROWS = 200_000
+#: Rows that a group has at least to be joined by broadcast for its size.
+HOT = 256
 #: Rows that a function over Arrow batches turns into Python values at a time.
 BATCH_ROWS = 512
 
@@ -42,6 +44,23 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(run, schema)
 
 
+def joined_back(rows: DataFrame, groups: DataFrame, on: list[str], total: int, count: str = "n", hot: int = HOT, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """`rows` with their group's columns; `groups` has the number of its rows, of `total` in all, in `count`.
+
+    Groups of total / limit rows or more are `limit` at most, whatever the data: they are broadcast, so that no
+    task has to take all rows of a hot group. The others are joined by shuffle.
+    """
+    least = max(hot, -(-total // limit))
+    large = F.broadcast(groups.where(F.col(count) >= least))
+    small = groups.where(F.col(count) < least)
+    return rows.join(large, on).unionByName(rows.join(large.select(*on), on, "left_anti").join(small, on))
+
+
+def attached(rows: DataFrame, more: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """`rows` joined with `more`, which has a row for each key: by broadcast where `more` was counted to be small."""
+    return rows.join(F.broadcast(more) if more.count() <= BROADCAST_ROWS else more, on, how)
+
+
 def ranked(df: DataFrame, groups: list[str], order: list[str], to: str, buckets: int = 256) -> DataFrame:
     """Add `to`: a gapless rank from 0 in each group, without gathering a group in one task.
 

@@ -9,17 +9,24 @@
    with many n-grams to a counter, those that documents share still stand above the chance level, and prefixes
    come from the lowest counters.
 3. Pairs are joined on prefix n-grams and pass the length filter, the positional filter (of the first n-gram that
-   both have: all before it, in either set, are in the difference for certain) and a suffix filter (the n-grams'
+   both have: all before it, in either set, are in the difference for certain) and a filter by parity (the n-grams'
    hashes fall into `RANGES` ranges, and ranges whose counts differ in parity bound the difference from below)
-   inside the join, before the sets are intersected, once for each pair.
-4. Seeds come first: in each n-gram's documents neighbours by set size meet, and each the one with the fewest
-   n-grams that no other prefix has, which of a family of copies is the nearest to all others; each document keeps the `SEEDS`
-   that it meets most often. This links most of a large group. Then all pairs are
-   joined whose components still differ, taking the rows outside an n-gram's largest component against all of
-   its rows. No link between components is lost, and a group of m near copies costs about m pairs, not m squared.
+   inside the join. What is left is verified once for each pair: the suffix filter parts both sorted sets at the
+   middle n-gram of one, adds up what the parts' sizes must differ by, and goes on in the parts `DEPTH` times; the
+   pairs that pass are intersected.
+4. Seeds come first: each document meets two hubs of each of its prefix n-grams, of all documents with the n-gram
+   and of those of about its own size: the one with the fewest n-grams that no other prefix has, which of a family
+   of copies is the nearest to all others; each document keeps the `SEEDS` that it meets most often. This links most
+   of a large group. Then all pairs are joined whose components still differ, taking the rows outside an n-gram's
+   largest component against all of its rows. No link between components is lost, and a group of m near copies costs
+   about m pairs, not m squared, but for members that are linked with nothing.
+
+A hot n-gram is never one task's: its hubs and counts are aggregates, which go back to its rows by broadcast where it
+has many, and the last join deals its rows over parts of `SPLIT`.
 
 Defined cases: a text with fewer words than n is one n-gram, the whole sequence; a null or empty text, or one
-without words, has the empty set and links with nothing; rows that share a doc_id are one node; a null doc_id
+without words, has the empty set and links with nothing; a very long text is one set, read whole; of hubs and seeds
+that tie the smallest doc_id counts; rows that share a doc_id are one node; a null doc_id
 has a component of null; an empty table gives no rows; further columns are not carried.
 """
 
@@ -29,20 +36,23 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.llm import wordhash
-from weftline.llm.common import BROADCAST_ROWS, checkpoint, components, map_batches
+from weftline.llm.common import BROADCAST_ROWS, attached, checkpoint, components, joined_back, map_batches
 
 CELLS, SLICES = 1 << 23, 256
 #: Partners of a document in the first round.
 SEEDS = 3
 RANGES = 512
-#: Sketch rows of one slice that are summed in a first round, so that a task sums a bounded number.
+#: Rounds of parting by the suffix filter.
+DEPTH = 4
+#: Rows of one n-gram that a part of the last join takes.
+SPLIT = 512
+#: Tasks over which the sums of one slice of the sketch are dealt in a first round.
 SUMMED = 64
 
 
@@ -97,15 +107,19 @@ def sets_and_sketch(docs: DataFrame, n: int) -> DataFrame:
 def rarity(sketch: DataFrame) -> np.ndarray:
     """Each cell's count, in steps of a sixteenth of its chance deviation: what n-grams are ordered by."""
 
-    def summed(rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(CELLS // SLICES, dtype=np.uint64)
-        for part in rows["counts"]:
-            total += np.frombuffer(zlib.decompress(part), dtype=np.uint64 if rows["wide"].iloc[0] else np.uint32)
-        return pd.DataFrame({"slice": [rows["slice"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
-
-    first = sketch.withColumn("wide", F.lit(False)).groupBy("slice", "salt").applyInPandas(summed, "slice int, counts binary")
-    last = first.withColumn("wide", F.lit(True)).groupBy("slice").applyInPandas(summed, "slice int, counts binary")
     size = CELLS // SLICES
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}  # of the slices of one partition: SLICES at most, of a fixed size
+        for batch in batches:
+            for k, part in zip(batch.column("slice").to_pylist(), batch.column("counts"), strict=True):
+                raw = np.frombuffer(zlib.decompress(part.as_py()), dtype=np.uint8)
+                totals.setdefault(k, np.zeros(size, dtype=np.uint64))[:] += raw.view(np.uint64 if len(raw) == 8 * size else np.uint32)
+        for k, total in totals.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["slice", "counts"])
+
+    first = sketch.repartition("slice", "salt").select("slice", "counts").mapInArrow(summed, "slice int, counts binary")
+    last = first.repartition("slice").mapInArrow(summed, "slice int, counts binary")
     parts = {r["slice"]: bytes(r["counts"]) for r in last.collect()}  # SLICES rows of CELLS / SLICES counters
     mean = sum(float(np.frombuffer(zlib.decompress(p), dtype=np.uint64).sum()) for p in parts.values()) / CELLS
     step = max(1.0, mean**0.5 / 16)
@@ -169,24 +183,50 @@ def filtered(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def may_be_close(a: str, b: str, percent: int) -> Column:
-    """The suffix filter on sets of na and nb n-grams with ranges `a` and `b`."""
+    """The filter by parity on sets of na and nb n-grams with ranges `a` and `b`."""
     odd = sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(1, RANGES // 64)), F.bit_count(F.get(a, F.lit(0)).bitwiseXOR(F.get(b, F.lit(0)))))
     return odd * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
 
 
+def least_difference(x: np.ndarray, y: np.ndarray, allowed: int, depth: int = DEPTH) -> int:
+    """How many n-grams are in one of the sorted sets x and y alone, at least; exact or over `allowed` is all that counts."""
+    gap = abs(len(x) - len(y))
+    if not depth or gap > allowed or not len(x) or not len(y):
+        return gap
+    middle = len(y) // 2
+    at = int(np.searchsorted(x, y[middle]))
+    both = int(at < len(x) and x[at] == y[middle])
+    right = abs(len(x) - at - both - len(y) + middle + 1)
+    found = 1 - both + least_difference(x[:at], y[:middle], allowed - right - 1 + both, depth - 1)
+    if found + right > allowed:
+        return found + right
+    return found + least_difference(x[at + both :], y[middle + 1 :], allowed - found, depth - 1)
+
+
 def links(pairs: DataFrame, counts: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose Jaccard similarity reaches the threshold: suffix filter, then intersection.
+    """The pairs (a, b) whose Jaccard similarity reaches the threshold: parity and suffix filter, then intersection.
 
     Sets are made again from the texts of the documents that are still in a pair, and of no others.
     """
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sides, good = [], []
+        for column in (batch.column(2), batch.column(3)):
+            values, bounds = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()
+            sides.append([values[i:j] for i, j in zip(bounds[:-1], bounds[1:], strict=True)])
+        for x, y in zip(*sides, strict=True):
+            least = -(-percent * (len(x) + len(y)) // (100 + percent))
+            allowed = len(x) + len(y) - 2 * least
+            good.append(least_difference(x, y, allowed) <= allowed and len(np.intersect1d(x, y, assume_unique=True)) >= least)
+        return batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
     for side in ("a", "b"):
         pairs = pairs.join(counts.select(F.col("doc_id").alias(side), F.col("n").alias(f"n{side}"), F.col("ranges").alias(f"r{side}")), side)
-    pairs = checkpoint(pairs.where(may_be_close("ra", "rb", percent)).select("a", "b", "na", "nb"))
+    pairs = checkpoint(pairs.where(may_be_close("ra", "rb", percent)).select("a", "b"))
     grams = sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), n)
     for side in ("a", "b"):
         pairs = pairs.join(grams.select(F.col("doc_id").alias(side), F.col("grams").alias(f"g{side}")), side)
-    both = F.size(F.array_intersect("ga", "gb"))
-    return pairs.where(both * (100 + percent) >= least_overlap(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct()
+    return map_batches(pairs.select("a", "b", "ga", "gb"), work, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -202,33 +242,44 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     firsts = checkpoint(prefixes(docs, order, n, percent).join(copies, "doc_id", "left_anti"))
     counts = firsts.select("doc_id", "n", "ranges")
     grams = firsts.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "n", F.posexplode("prefix").alias("at", "gram"))
+    total = firsts.agg(F.sum(F.size("prefix"))).first()[0] or 0
 
-    by_id = Window.partitionBy("gram").orderBy("rep")
-    shared = grams.select("gram", "rep", "n", "at", F.lag("rep").over(by_id).alias("before"), F.lead("rep").over(by_id).alias("after"))
-    shared = checkpoint(shared.where("before is not null or after is not null").select("gram", "rep", "n", "at"))
+    met = checkpoint(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1"))
+    few = met.count() <= BROADCAST_ROWS
+    shared = grams.join(F.broadcast(met), "gram") if few else joined_back(grams, met, ["gram"], total, "members")
+    shared = checkpoint(shared.select("gram", "rep", "n", "at"))
     length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    alone = shared.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("met")).select("rep", "n", (length - F.col("met")).alias("u"))
-    shared = checkpoint(shared.join(alone, ["rep", "n"]).select("gram", "rep", "n", "at", "u"))
-    near = Window.partitionBy("gram").orderBy("n", "rep")
-    sides = {"b": "rep", "nb": "n", "pb": "at"}
-    own = [F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa")]
-    before = shared.select(*own, *(F.lag(c).over(near).alias(k) for k, c in sides.items()))
-    least = Window.partitionBy("gram").orderBy("u", "n", "rep")
-    first = shared.select(*own, *(F.first(c).over(least).alias(k) for k, c in sides.items()))
-    met = filtered(before.union(first).where("a != b"), percent)
+    alone = checkpoint(shared.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("met")).select("rep", (length - F.col("met")).alias("u")))
+    shared = checkpoint(attached(shared, alone, ["rep"]).select("gram", "rep", "n", "at", "u"))
+    sized = shared.withColumn("class", F.floor(F.log("n") / F.log(F.lit(2 - percent / 100 + 0.01))).cast("int"))
+    hub = F.min(F.struct("u", "n", "rep", "at")).alias("hub")
+    hubs = sized.groupBy("gram", "class").agg(hub, F.count(F.lit(1)).alias("members"))
+    hubs = hubs.groupBy("gram").agg(F.min("hub").alias("best"), F.collect_list(F.struct("class", "hub")).alias("hubs"), F.sum("members").alias("members"))
+    hubs = checkpoint(hubs)
+    own = F.filter("hubs", lambda h: h["class"] == F.col("class"))
+    pairs = (sized.join(F.broadcast(hubs), "gram") if few else joined_back(sized, hubs, ["gram"], total, "members")).select(
+        F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.explode(F.array_distinct(F.array("best", own[0]["hub"]))).alias("h")
+    )
+    pairs = pairs.select("a", "na", "pa", F.col("h.rep").alias("b"), F.col("h.n").alias("nb"), F.col("h.at").alias("pb"))
     most = Window.partitionBy("a").orderBy(F.desc("times"), "b")
-    met = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times")).withColumn("place", F.row_number().over(most)).where(F.col("place") <= SEEDS)
-    seeds = checkpoint(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    often = filtered(pairs.where("a != b"), percent).groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
+    often = often.withColumn("place", F.row_number().over(most)).where(F.col("place") <= SEEDS)
+    seeds = checkpoint(often.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     known = checkpoint(components(links(seeds, counts, docs, n, percent)))
 
-    rows = shared.join(known.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    rows = attached(shared, known.select(F.col("node").alias("rep"), "component"), ["rep"], "left")
     rows = rows.select("gram", "rep", "n", "at", F.coalesce("component", "rep").alias("component"))
     sizes = rows.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size"))
-    mixed = sizes.groupBy("gram").agg(F.max_by("component", F.struct("size", -F.col("component"))).alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("gram", "largest")
-    open_rows = checkpoint(rows.join(mixed, "gram").join(counts.select(F.col("doc_id").alias("rep"), "ranges"), "rep"))
-    left = open_rows.where("component != largest").select("gram", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("component").alias("ca"), F.col("ranges").alias("ra"))
-    right = open_rows.select("gram", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("component").alias("cb"), F.col("ranges").alias("rb"), "largest")
-    crossed = left.join(right, "gram").where("ca != cb and (cb = largest or a < b)")
+    largest = F.max_by("component", F.struct("size", -F.col("component"))).alias("largest")
+    mixed = checkpoint(sizes.groupBy("gram").agg(largest, F.count(F.lit(1)).alias("parts"), F.sum("size").alias("members")).where("parts > 1").drop("parts"))
+    open_rows = rows.join(F.broadcast(mixed), "gram") if mixed.count() <= BROADCAST_ROWS else joined_back(rows, mixed, ["gram"], total, "members")
+    open_rows = open_rows.withColumn("parts", F.ceil(F.col("members") / SPLIT))
+    open_rows = checkpoint(open_rows.join(counts.select(F.col("doc_id").alias("rep"), "ranges"), "rep"))
+    part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")
+    left = open_rows.where("component != largest").select("gram", part, F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("component").alias("ca"), F.col("ranges").alias("ra"))
+    part = F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part")
+    right = open_rows.select("gram", part, F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("component").alias("cb"), F.col("ranges").alias("rb"), "largest")
+    crossed = left.join(right, ["gram", "part"]).where("ca != cb and (cb = largest or a < b)")
     rest = filtered(crossed, percent).where(may_be_close("ra", "rb", percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = rest.join(seeds, ["a", "b"], "left_anti")
     more = links(rest, counts, docs, n, percent)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import wordhash
-from weftline.llm.common import BATCH_ROWS, BROADCAST_ROWS, checkpoint, map_batches
+from weftline.llm.common import BATCH_ROWS, BROADCAST_ROWS, HOT, checkpoint, joined_back, map_batches
 
 WINDOW, PHRASE = 50, 16
 #: Phrases of one automaton, on average: some 10 MB.
@@ -43,8 +43,6 @@ AUTOMATON = 1_000
 STRETCH = 256
 #: Phrase starts of one slice of a text, and slices that a copy of an automaton takes.
 SLICE, SLICES = 2_048, 256
-#: Rows that a value has at least to be joined by broadcast.
-HOT = 256
 #: Odd bases of the hashes of phrases, and of the two of windows.
 PHRASE_BASE, BASES = 0xD6E8FEB86659FD93, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -237,18 +235,6 @@ def cut(docs: DataFrame, removed: DataFrame, twice: DataFrame) -> DataFrame:
     return map_batches(with_text(docs, removed, twice).select("doc_id", "key", "text", "starts"), work, "doc_id bigint, key bigint, n_removed bigint, kept string")
 
 
-def joined_back(rows: DataFrame, groups: DataFrame, on: list[str], total: int) -> DataFrame:
-    """`rows` with their group's columns; `groups` has n, the number of its rows, of `total` in all.
-
-    Groups of total / BROADCAST_ROWS rows or more are BROADCAST_ROWS at most, whatever the data: they are broadcast,
-    so that no task has to take all rows of a hot group. The others are joined by shuffle.
-    """
-    least = max(HOT, -(-total // BROADCAST_ROWS))
-    hot = F.broadcast(groups.where(F.col("n") >= least))
-    cold = groups.where(F.col("n") < least)
-    return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(cold, on)).drop("n")
-
-
 def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All documents (doc_id, n_words, sha, whole: lost as a whole), (doc_id, key, starts) of repeated windows, and doc_ids of several rows."""
     brief = checkpoint(scan(docs))
@@ -265,12 +251,12 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     shared = checkpoint(shared)
     shards = max(1, -(-shared.count() // AUTOMATON))
     known = F.struct("phrase", F.pmod(F.xxhash64("low"), F.lit(shards)).alias("shard"), (F.col("doc_id") == F.col("low.doc_id")).alias("own"))
-    recurring = checkpoint(joined_back(phrases.drop("at"), shared, ["phrase"], total).groupBy("doc_id", "key").agg(F.collect_list(known).alias("phrases")))
+    recurring = checkpoint(joined_back(phrases.drop("at"), shared, ["phrase"], total, "n", HOT, BROADCAST_ROWS).groupBy("doc_id", "key").agg(F.collect_list(known).alias("phrases")))
     around = checkpoint(windows(docs, recurring, twice))
     total = around.agg(F.sum(F.size("starts"))).first()[0] or 0
     single = around.select("doc_id", "key", F.explode(F.arrays_zip("starts", "h1", "h2")).alias("w")).select("doc_id", "key", F.col("w.starts").alias("start"), F.col("w.h1").alias("h1"), F.col("w.h2").alias("h2"))
     owners = single.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").drop("high")
-    later = joined_back(single, owners, ["h1", "h2"], total).where("doc_id > low").groupBy("doc_id", "key").agg(F.collect_list("start").alias("starts"))
+    later = joined_back(single, owners, ["h1", "h2"], total, "n", HOT, BROADCAST_ROWS).where("doc_id > low").groupBy("doc_id", "key").agg(F.collect_list("start").alias("starts"))
     return judged.select("doc_id", "n_words", "sha", "whole", key), checkpoint(later), twice
 
 
