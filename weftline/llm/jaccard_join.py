@@ -233,9 +233,10 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     """(doc_id, n_shingles, component_id) of every document; links at a Jaccard similarity of percent / 100."""
     scanned = checkpoint(sets_and_sketch(docs, n))
     keyed = scanned.where("slice is null").select("doc_id", "n", "k1", "k2")
-    classes = keyed.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    classes = checkpoint(classes)
-    copies = keyed.join(classes, ["k1", "k2"]).where("doc_id != rep").select("doc_id").distinct()
+    told = keyed.where("n > 0 and doc_id is not null")
+    classes = checkpoint(told.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members")))
+    rows_told = classes.agg(F.sum("members")).first()[0] or 0
+    copies = joined_back(told, classes.where("members > 1"), ["k1", "k2"], rows_told, "members").where("doc_id != rep").select("doc_id").distinct()
     copies = checkpoint(copies.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"))
     copies = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
     order = rarity(scanned.where("slice is not null").select("slice", "salt", "counts"))
@@ -286,9 +287,10 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     stars = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = components(stars.union(more))
 
-    named = keyed.join(classes, ["k1", "k2"], "left").join(final.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    own = F.when(F.col("n") > 0, F.coalesce("component", "rep")).otherwise(F.col("doc_id"))
-    return named.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    named = classes.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    alike = joined_back(told, named.select("k1", "k2", "component", "members"), ["k1", "k2"], rows_told, "members").select("doc_id", "n", "component")
+    others = keyed.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component"))
+    return alike.union(others).select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
