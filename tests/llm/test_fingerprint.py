@@ -60,3 +60,11 @@ def test_collisions_are_told_apart(documents, monkeypatch):
     rows = f.compare_edits(documents([(1, "abc"), (2, "xyz"), (3, "ABC "), (4, "four")])).collect()
     prints = {r.doc_id: r.fingerprint for r in rows}
     assert prints[1] == prints[3] != prints[2] and len({p[:2] for p in prints.values()}) == 2
+
+
+def test_bucket_lookup(spark, monkeypatch):
+    """Lookups in one round and in several count the bounds at or below a value."""
+    monkeypatch.setattr(f, "SIDE", 3)
+    for bounds in ([5], [1, 4, 9], list(range(-20, 200, 7)), list(range(0, 3000, 11))):
+        rows = spark.range(-30, 3100, 13).select("id", f.bucket_of(f.F.col("id"), bounds).alias("k")).collect()
+        assert all(r.k == sum(b <= r.id for b in bounds) for r in rows)

@@ -6,21 +6,23 @@ forms ever share 128 bits, the fingerprints of that bucket carry the form's SHA-
 DataFrame and SQL functions: normalisation and folding call the ICU library that Spark ships, by `reflect`.
 
 The next document in descending doc_id is found without a global sort of texts: doc_ids are dealt by quantiles
-into at most 4,096 buckets, each bucket also gets a copy of the first document of the bucket below (at most one
+into buckets of about `ROWS` documents (at most as many buckets as may be broadcast), each bucket also gets a copy of the first document of the bucket below (at most one
 for each bucket), and `lead` runs inside buckets. Texts cross the network once.
 
 Defined cases: a null text is empty; rows with the same doc_id follow each other by their texts' hash; the only
-document of a table is its own next; an empty table gives no rows; further columns are not carried.
+document of a table is its own next; a very long text is hashed whole; an empty table gives no rows; further columns are not carried.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.llm.common import BROADCAST_ROWS, checkpoint
 
-#: Buckets of neighbouring doc_ids: SIDE x SIDE at most, of about ROWS documents each.
+#: Rows of a bucket of neighbouring doc_ids; fan-out of the lookup of a doc_id's bucket.
 SIDE, ROWS = 64, 2_000
 WHITE = r"[\s\p{Z}\x1c-\x1f\x85]+"
 
@@ -40,22 +42,29 @@ def wide_hash(form: Column) -> Column:
 
 
 def bucket_of(doc_id: Column, bounds: list[int]) -> Column:
-    """How many of the sorted `bounds` lie at or below doc_id, by two rounds over SIDE values at most."""
-    coarse = F.array(*(F.lit(b) for b in bounds[::SIDE])).cast("array<bigint>")
-    fine = F.array(*(F.lit(b) for b in bounds)).cast("array<bigint>")
-    block = F.size(F.filter(coarse, lambda b: b <= doc_id)) - 1
-    return F.when(block < 0, F.lit(0)).otherwise(block * SIDE + F.size(F.filter(F.slice(fine, block * SIDE + 1, F.lit(SIDE)), lambda b: b <= doc_id))).cast("int")
+    """How many of the sorted `bounds` lie at or below doc_id, by rounds over SIDE values at most each."""
+    level, found = 1, F.lit(0)
+    while level * SIDE < len(bounds):
+        level *= SIDE
+    while level:
+        values = F.from_json(F.lit(json.dumps(bounds[::level])), "array<bigint>")  # folded into one literal
+        near = values if level * SIDE >= len(bounds) else F.slice(values, found * SIDE + 1, F.lit(SIDE))
+        base = F.lit(0) if level * SIDE >= len(bounds) else found * SIDE
+        passed = base + F.size(F.filter(near, lambda b: b <= doc_id))
+        found = passed.cast("int") if level == 1 else F.greatest(passed - 1, F.lit(0)).cast("int")
+        level //= SIDE
+    return found
 
 
 def with_next(rows: DataFrame) -> DataFrame:
     """`rows` (doc_id, text, tie, digest) with the next row's text and digest in descending doc_id."""
     count, least = rows.agg(F.count(F.lit(1)), F.min("doc_id")).first()
-    n = max(1, min(SIDE * SIDE, -(-count // ROWS)))
+    n = max(1, min(BROADCAST_ROWS, -(-count // ROWS)))
     shares = [k / n for k in range(1, n)]
-    bounds = sorted(set(rows.agg(F.percentile_approx("doc_id", shares, 100 * SIDE)).first()[0] or [])) if shares and count else []
+    bounds = sorted(set(rows.agg(F.percentile_approx("doc_id", shares, max(100 * SIDE, 2 * n))).first()[0] or [])) if shares and count else []
     bounds = [b for b in bounds if b > least]
     rows = rows.withColumn("bucket", bucket_of(F.col("doc_id"), bounds) if bounds else F.lit(0))
-    heads = rows.groupBy("bucket").agg(F.max(F.struct("doc_id", "tie")).alias("head")).collect()  # at most SIDE x SIDE
+    heads = rows.groupBy("bucket").agg(F.max(F.struct("doc_id", "tie")).alias("head")).collect()  # one a bucket
     heads = sorted((r.bucket, r.head.doc_id, r.head.tie) for r in heads)
     after = [(heads[k][0], *heads[k - 1][1:]) for k in range(len(heads))]  # the lowest is followed by the highest
     spark = rows.sparkSession

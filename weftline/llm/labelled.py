@@ -24,7 +24,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_RO
 
     The rows are those with the smallest hashes of doc_id among labelled documents that aren't held out, so the
     sample doesn't depend on how tables are partitioned; weights restore each class's share of all labels. Of
-    contradictory labels of a document the larger counts.
+    contradictory labels of a document the larger counts, of several texts of a doc_id the least.
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("y"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -39,8 +39,9 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_RO
         return [], np.empty(0), np.empty(0)
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), lang.cast("string").alias("lang"))
-    found = texts.where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(ids.select("doc_id", "y")), "doc_id").select("doc_id", "text", "lang", "y").collect()  # at most 2 x rows, short
-    found = sorted({(r.doc_id, r.text, r.lang or "", r.y) for r in found})
+    found = texts.where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(ids.select("doc_id", "y")), "doc_id")
+    found = found.groupBy("doc_id", "y").agg(F.min(F.struct("text", F.coalesce("lang", F.lit("")).alias("lang"))).alias("row")).select("doc_id", "row.text", "row.lang", "y").collect()  # at most 2 x rows, short
+    found = sorted((r.doc_id, r.text, r.lang, r.y) for r in found)
     y = np.array([r[3] for r in found], dtype=float)
     counts = {k: max(1.0, float((y == k).sum())) for k in totals}
     weights = np.array([totals[int(k)] / counts[int(k)] for k in y])

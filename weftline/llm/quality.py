@@ -6,8 +6,8 @@ maximum over the chunks are combined into one probability. Filters, combination
 the driver from a bounded sample of labelled rows (see `labelled`); scoring is one pass without a shuffle.
 
 Defined cases: a null text is empty; texts shorter than a filter are padded with zero bytes; without labels of
-both classes every score is the smoothed share of label 1; an empty table gives no rows; repeated rows are scored
-each for itself; input columns other than doc_id and text are never looked at.
+both classes every score is the smoothed share of label 1; a very long text is scored whole, in slabs of a fixed size;
+an empty table gives no rows; repeated rows are scored each for itself, equal texts alike; input columns other than doc_id and text are never looked at.
 """
 
 from __future__ import annotations
@@ -22,12 +22,10 @@ from pyspark.sql import functions as F
 from weftline.llm import labelled
 from weftline.llm.common import map_batches
 
-WIDTH, FILTERS, EMBEDDED = 6, 16, 8
+WIDTH, FILTERS, EMBEDDED = 6, 24, 8
 HALF = 256
 #: Bytes that pass through the filters at a time; longer texts go piece by piece.
 SLAB = 256 * HALF
-#: Bytes of a text that counts as short.
-SHORT = 120.0
 EPOCHS, BATCH, RATE = 14, 48, 0.01
 #: Batches that a small sample is fitted with at least.
 STEPS = 400
@@ -40,11 +38,6 @@ def padded(text: bytes) -> np.ndarray:
     return np.frombuffer(text + bytes(n * HALF + WIDTH - 1 - len(text)), dtype=np.uint8)
 
 
-def shortness(size: int) -> float:
-    """1 for an empty text, falling with its bytes: short texts fire few filters whatever they say."""
-    return float(np.exp(-size / SHORT))
-
-
 def starts(size: int) -> int:
     """Windows of a text: at least one, which may reach into the padding."""
     return max(1, size - WIDTH + 1)
@@ -56,7 +49,6 @@ class Model:
     bias: np.ndarray
     mean: np.ndarray
     top: np.ndarray
-    short: float
     offset: float
     slope: float = 1.0
     intercept: float = 0.0
@@ -83,7 +75,7 @@ class Model:
         half = half[: -(-starts(len(text)) // HALF)]
         chunk = np.maximum(half[:-1], half[1:]) if len(half) > 1 else half
         chunk = np.maximum(chunk + self.bias, 0)
-        return float(chunk.mean(axis=0) @ self.mean + chunk.max(axis=0) @ self.top + shortness(len(text)) * self.short + self.offset)
+        return float(chunk.mean(axis=0) @ self.mean + chunk.max(axis=0) @ self.top + self.offset)
 
     def score(self, text: bytes) -> float:
         if self.constant is not None:
@@ -98,10 +90,10 @@ def fit(texts: list[bytes], y: np.ndarray, weights: np.ndarray, seed: int = 0) -
     shapes = {"embedding": (256, EMBEDDED), "filters": (WIDTH, EMBEDDED, FILTERS), "bias": (FILTERS,), "mean": (FILTERS,), "top": (FILTERS,)}
     p = {k: rng.normal(0, 0.3, s).astype(np.float32) for k, s in shapes.items()}
     p["bias"][:] = 0
-    p |= {"short": np.zeros(1, dtype=np.float32), "offset": np.zeros(1, dtype=np.float32)}
+    p["offset"] = np.zeros(1, dtype=np.float32)
 
     def model() -> Model:
-        return Model(np.einsum("be,kef->kbf", p["embedding"], p["filters"]).astype(np.float32), p["bias"], p["mean"], p["top"], float(p["short"][0]), float(p["offset"][0]))
+        return Model(np.einsum("be,kef->kbf", p["embedding"], p["filters"]).astype(np.float32), p["bias"], p["mean"], p["top"], float(p["offset"][0]))
 
     if len(y) < 10 or y.min() == y.max():
         out = model()
@@ -138,9 +130,8 @@ def fit(texts: list[bytes], y: np.ndarray, weights: np.ndarray, seed: int = 0) -
                 act = np.maximum(half + now.bias, 0)
                 top = act.argmax(axis=0)
                 mean, most = act.mean(axis=0), act.max(axis=0)
-                error = weights[i] / total * (labelled.sigmoid(mean @ now.mean + most @ now.top + shortness(len(text)) * now.short + now.offset) - y[i])
+                error = weights[i] / total * (labelled.sigmoid(mean @ now.mean + most @ now.top + now.offset) - y[i])
                 gradient["offset"] += error
-                gradient["short"] += error * shortness(len(text))
                 gradient["mean"] += error * mean
                 gradient["top"] += error * most
                 g = np.repeat((error * now.mean / len(act))[None], len(act), axis=0)

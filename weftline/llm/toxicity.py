@@ -10,7 +10,9 @@ with the best F1 on rows kept from fitting is found; it decides the column `flag
 
 Defined cases: a null text is empty; an empty text, or one without words, is one word without letters; without
 labels of both classes every score is the smoothed share of label 1; an unknown or null language takes the
-threshold over all languages; an empty table gives no rows; repeated rows are scored each for itself.
+threshold over all languages; an empty table gives no rows; repeated
+rows are scored each for itself; a very long text is scored whole, in slabs of a fixed size; of thresholds with equal F1
+the highest is taken; further columns are not carried, whatever their names.
 """
 
 from __future__ import annotations
