@@ -15,6 +15,8 @@ from weftline.sources.samples import TRUTH, generate
 def folder(tmp_path_factory):
     path = tmp_path_factory.mktemp("sources")
     generate(str(path))
+    for k in (1, 2, 3):  # here both splits have the records whose links are known
+        (path / f"test_source{k}.tsv").write_text((path / f"train_source{k}.tsv").read_text())
     return path
 
 
@@ -179,8 +181,7 @@ def test_validation(spark, folder, tmp_path):
 def test_export(spark, loaded, tmp_path):
     lists = spark.createDataFrame([("S1-2", []), ("S1-1", ["S2-1", "S3-1"])], "s1_id string, ids array<string>")
     tsv.export_tsv(lists, str(tmp_path / "out"), "matched_entity_ids", "ids")
-    [file] = (tmp_path / "out").glob("part-*.csv")
-    assert file.read_text() == "source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1,S3-1\nS1-2\t\n"
+    assert (tmp_path / "out").read_text() == "source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1,S3-1\nS1-2\t\n"
     assert tsv.package(str(tmp_path), ["nothing"], str(tmp_path / "a.zip")) == ["nothing"]
 
 
@@ -206,3 +207,42 @@ def test_command_line(spark, folder, tmp_path, capsys, monkeypatch):
     assert "4 rows" in capsys.readouterr().out
     assert cli.main(["--mode", "test", "--test-sample", "2", *common]) == 0
     assert cli.main(["--mode", "package", *common]) == 0 and (tmp_path / "team.zip").exists()
+
+
+def test_chunks_number_each_source_in_its_own_ranges(spark):
+    """Two sources whose orders lie far apart: chunks follow the order, and ranges are as fine in both."""
+    rows = [(f"S{src}-{k}", "india" if k % 3 else "us", (src << tsv.SOURCE_BIT) + k) for src in (2, 3) for k in range(300)]
+    targets = spark.createDataFrame(rows, "entity_id string, norm_country string, ord bigint")
+    found = blocking.chunked(targets, 7).orderBy("norm_country", "ord").collect()
+    for country in ("india", "us"):
+        assert [r.chunk for r in found if r.norm_country == country] == [k // 7 for k in range(sum(r[1] == country for r in rows))]
+
+
+def test_archive_holds_the_files(spark, tmp_path):
+    import zipfile
+
+    lists = spark.createDataFrame([(f"S1-{k:03d}", [f"S2-{k}"] * (k % 3)) for k in range(50)], "s1_id string, ids array<string>").repartition(5)
+    tsv.export_tsv(lists, str(tmp_path / "r.tsv"), "matched_entity_ids", "ids")
+    lines = (tmp_path / "r.tsv").read_text().splitlines()
+    assert lines[0] == "source1_entity_id\tmatched_entity_ids" and lines[1:] == [f"S1-{k:03d}\t" + ",".join([f"S2-{k}"] * (k % 3)) for k in range(50)]
+    (tmp_path / "folder").mkdir()
+    assert tsv.package(str(tmp_path), ["r.tsv", "folder"], str(tmp_path / "a.zip")) == ["folder"]
+    with zipfile.ZipFile(tmp_path / "a.zip") as bundle:
+        assert bundle.read("r.tsv") == (tmp_path / "r.tsv").read_bytes()
+
+
+def test_sources_keep_other_scripts(spark, tmp_path):
+    (tmp_path / "s.tsv").write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-1\tचाय घर\tदिल्ली 12\tIndia\n", encoding="utf-8")
+    row = tsv.load_source(spark, str(tmp_path / "s.tsv"), 1).first()
+    assert row.norm_name.isascii() and row.norm_name.strip() and row.norm_address.replace("12", "").strip().isascii() and len(row.norm_address) > 4
+
+
+def test_other_records_resume_nothing(spark, tmp_path):
+    from weftline.plans.linker import Linker
+
+    generate(str(tmp_path))
+    train, _ = tsv.load_split(spark, str(tmp_path), "train")
+    test, _ = tsv.load_split(spark, str(tmp_path), "test")
+    linker = Linker()
+    assert linker.fingerprint(train) == linker.fingerprint(train) != linker.fingerprint(test)
+    assert {r.norm_country for r in test.select("norm_country").distinct().collect()} - {r.norm_country for r in train.select("norm_country").distinct().collect()}

@@ -11,7 +11,8 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder that the session names.
 
     ``spark.checkpoint.dir`` is read from the session; only where it is unset (tests on one machine) a
-    temporary folder is taken. Spark deletes the files when the result is no longer referenced.
+    temporary folder is taken. Spark deletes the files of results that are no longer referenced only where the
+    session was started with ``spark.cleaner.referenceTracking.cleanCheckpoints``; else whoever names the folder does.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import keys
+from weftline.sources.tsv import SOURCE_BIT
 
 MOST_POSTINGS = 30
 
@@ -138,17 +139,23 @@ def exploded(records: DataFrame, target: bool) -> DataFrame:
     return rows.select("entity_id", "ord", "chunk", "country", "k.channel", "k.pos", "k.key")
 
 
+#: Ranges of a source's order in which its rows are numbered.
+RANGES = 1024
+
+
 def chunked(targets: DataFrame, size: int) -> DataFrame:
     """Add the number of the chunk of `size` targets of a country, in source order, that a target lies in.
 
-    A country's rows are counted by 1,024 ranges of ord, so no country is numbered in one task.
+    A country's rows are counted by 1,024 ranges of each source's own order, so no country is numbered in one task.
     """
     counts = targets.groupBy("norm_country").count()
     if (counts.agg(F.max("count")).first()[0] or 0) <= size:
         return targets.withColumn("chunk", F.lit(0))
-    low, high = targets.agg(F.min("ord"), F.max("ord")).first()
-    step = max(1, -(-(high - low + 1) // 1024))
-    dealt = targets.withColumn("range", F.floor((F.col("ord") - low) / step))
+    source = F.shiftright("ord", SOURCE_BIT)
+    spans = targets.groupBy(source.alias("source")).agg(F.min("ord").alias("low"), F.max("ord").alias("high"))
+    spans = F.broadcast(spans.select("source", "low", F.ceil((F.col("high") - F.col("low") + 1) / RANGES).cast("bigint").alias("step")))
+    dealt = targets.withColumn("source", source).join(spans, "source")
+    dealt = dealt.withColumn("range", F.col("source") * RANGES + F.floor((F.col("ord") - F.col("low")) / F.col("step"))).drop("source", "low", "step")
     before = Window.partitionBy("norm_country").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("norm_country", "range").count().select("norm_country", "range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
     own = F.row_number().over(Window.partitionBy("norm_country", "range").orderBy("ord")) - 1

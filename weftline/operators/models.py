@@ -14,14 +14,12 @@ from pyspark.ml.base import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.operators.features import FEATURE_COLUMNS
 
 CV_SPLITS = 5
-#: Entities up to which folds are balanced exactly; a hash leaves so few too uneven, and they fit the driver.
-FEW_GROUPS = 1_000
 #: Models of different folds whose scores are averaged on new pairs.
 EVALUATED = 2
 MOST_WEIGHT = 10.0
@@ -34,16 +32,17 @@ def fold_of(s1_id: Column, n: int) -> Column:
     return (F.conv(F.substring(F.md5(s1_id), 1, 8), 16, 10).cast("bigint") % n).cast("int")
 
 
-def balanced_folds(pairs: DataFrame, n: int) -> DataFrame:
-    """(s1_id, fold): entities in order of their pairs, each to the lightest fold. Entities are listed on the driver;
-    for tables whose entities are few enough for that."""
-    loads = [0] * n
-    rows = []
-    for r in pairs.groupBy("s1_id").count().orderBy(F.desc("count"), "s1_id").collect():
-        k = loads.index(min(loads))
-        loads[k] += r["count"]
-        rows.append((r.s1_id, k))
-    return pairs.sparkSession.createDataFrame(rows, "s1_id string, fold int")
+def balanced_folds(pairs: DataFrame, n: int, buckets: int = 64) -> DataFrame:
+    """(s1_id, fold): entities in order of their pairs, dealt to the folds to and fro, so that loads are near equal.
+
+    The order is numbered by (pairs, bucket of a hash), so no task numbers all entities; only counts meet in one.
+    """
+    sized = pairs.groupBy("s1_id").agg(F.count(F.lit(1)).alias("size")).withColumn("bucket", F.pmod(F.xxhash64("s1_id"), F.lit(buckets)))
+    before = Window.orderBy(F.desc("size"), "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sized.groupBy("size", "bucket").count().select("size", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    own = F.row_number().over(Window.partitionBy("size", "bucket").orderBy("s1_id")) - 1
+    turn = ((F.col("own") + F.col("start")) % (2 * n)).cast("int")
+    return sized.withColumn("own", own).join(starts, ["size", "bucket"]).select("s1_id", F.when(turn < n, turn).otherwise(2 * n - 1 - turn).alias("fold"))
 
 
 def boosted(seed: int, depth: int, rounds: int) -> GBTClassifier:
@@ -84,11 +83,8 @@ class EntityClassifier:
         Folds are fitted one after another, each on all executors. `pairs` is read once for each fold, so it
         should be stored before.
         """
-        groups = pairs.select("s1_id").distinct().limit(FEW_GROUPS + 1).count()
-        n = max(min(n_splits, groups), 2)
-        if folds is None and groups <= FEW_GROUPS:
-            folds = balanced_folds(pairs, n)
-        rows = pairs.withColumn("fold", fold_of(F.col("s1_id"), n)) if folds is None else pairs.join(folds, "s1_id")
+        n = max(min(n_splits, pairs.select("s1_id").distinct().limit(n_splits).count()), 2)
+        rows = pairs.join(balanced_folds(pairs, n) if folds is None else folds, "s1_id")
         rows = self.assembler.transform(rows.withColumn("label", F.col("label").cast("double"))).select("s1_id", "target_id", "label", "fold", "features")
         counts = {(r.fold, r.label): r["count"] for r in rows.groupBy("fold", "label").count().collect()}
         self.models, scored = [], None

@@ -76,9 +76,11 @@ class Linker:
             raise RuntimeError("Classifier has not been trained yet.")
         return self.classifier.predict_proba(self.features(pairs, records)).select("s1_id", "target_id", "prob")
 
-    def fingerprint(self) -> str:
-        """What a run depends on besides its records, so that a run with other parameters resumes nothing of it."""
-        about = [asdict(self.config), self.model_type, self.threshold, TEST_CANDIDATES, self.classifier and [[m.uid for m in f] for f in self.classifier.models]]
+    def fingerprint(self, records: DataFrame) -> str:
+        """What a run depends on: a run with other parameters or other records resumes nothing of it."""
+        row = F.xxhash64("entity_id", "src", "norm_name", "norm_address", "norm_country").cast("decimal(38,0)")
+        seen = [str(v) for v in records.agg(F.count(F.lit(1)), F.sum(row)).first()]
+        about = [asdict(self.config), self.model_type, self.threshold, TEST_CANDIDATES, self.classifier and [[m.uid for m in f] for f in self.classifier.models], seen]
         return hashlib.sha256(json.dumps(about).encode()).hexdigest()[:16]
 
     def infer(self, records: DataFrame, folder: str) -> DataFrame:
@@ -88,7 +90,7 @@ class Linker:
         fingerprint. Countries that are there are skipped, all others are written together in one job, whose
         writer replaces whole partitions.
         """
-        spark, base = records.sparkSession, f"{folder}/{self.fingerprint()}"
+        spark, base = records.sparkSession, f"{folder}/{self.fingerprint(records)}"
         s1 = records.where("src = 1").select(F.col("entity_id").alias("s1_id"), "norm_country")
 
         def done(path: str) -> list[str]:

@@ -85,12 +85,15 @@ def normalised(source: DataFrame, src: int, full: bool = False) -> DataFrame:
     )
 
 
-def load_source(spark: SparkSession, path: str, src: int, rows: int | None = None, cache: str | None = None) -> DataFrame:
-    """Records of one source, by way of a parquet cache that is written where it is older than the source."""
+def load_source(spark: SparkSession, path: str, src: int, rows: int | None = None, cache: str | None = None, full: bool = True) -> DataFrame:
+    """Records of one source, by way of a parquet cache that is written where it is older than the source.
+
+    `full` transliterates other scripts as well; without it their letters are lost to the keys.
+    """
     if cache is None or rows is not None:
-        return normalised(load_tsv(spark, path, rows), src)
+        return normalised(load_tsv(spark, path, rows), src, full)
     if not (exists(spark, f"{cache}/_SUCCESS") and modified(spark, f"{cache}/_SUCCESS") >= modified(spark, path)):
-        normalised(load_tsv(spark, path), src).write.mode("overwrite").parquet(cache)
+        normalised(load_tsv(spark, path), src, full).write.mode("overwrite").parquet(cache)
     return spark.read.parquet(cache)
 
 
@@ -122,14 +125,31 @@ def load_split(spark: SparkSession, folder: str, prefix: str, sample_s1: int | N
 
 
 def export_tsv(lists: DataFrame, path: str, column: str, ids: str) -> None:
-    """Write (s1_id, ids) as a folder of one tab-separated file: sorted by entity, ids joined by commas."""
+    """Write (s1_id, ids) as one tab-separated file with a header: sorted by entity, ids joined by commas.
+
+    Executors write sorted parts beside the file; the driver's JVM strings them together as streams of bytes.
+    """
+    spark = lists.sparkSession
+    fs, target = file_system(spark, path)
+    parts = file_system(spark, f"{path}.parts")[1]
     out = lists.select(F.col("s1_id").alias("source1_entity_id"), F.concat_ws(",", ids).alias(column))
-    out.orderBy("source1_entity_id").coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=True, emptyValue="", nullValue="", quoteAll=False)
+    out.orderBy("source1_entity_id").write.mode("overwrite").csv(f"{path}.parts", sep="\t", header=False, emptyValue="", nullValue="", quoteAll=False)
+    if fs.exists(target):
+        fs.delete(target, True)
+    stream = fs.create(target, True)
+    stream.write(bytearray(f"source1_entity_id\t{column}\n".encode()))
+    for part in sorted((s.getPath() for s in fs.listStatus(parts)), key=lambda p: p.getName()):
+        if part.getName().startswith("part-"):
+            source = fs.open(part)
+            spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, stream, 1 << 16, False)
+            source.close()
+    stream.close()
+    fs.delete(parts, True)
 
 
 def package(folder: str, files: list[str], archive: str, strict: bool = False) -> list[str]:
     """Bundle local files into a zip archive; returns the missing ones, which `strict` refuses."""
-    missing = [f for f in files if not (Path(folder) / f).exists()]
+    missing = [f for f in files if not (Path(folder) / f).is_file()]
     if missing and strict:
         raise FileNotFoundError(", ".join(missing))
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as bundle:
