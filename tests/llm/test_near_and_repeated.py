@@ -103,6 +103,22 @@ def test_filters_never_lose_a_link(monkeypatch, documents, corpus):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in j.near_duplicates(documents(pairs)).collect()} == want
 
 
+@pytest.mark.parametrize("hot", [0, 4])
+def test_hot_ngrams_are_joined_back(monkeypatch, documents, corpus, hot):
+    """All n-grams by counts, or those of four rows on; the others by the nearest sizes under the n-gram."""
+    pairs = list(enumerate(corpus))
+    for name, value in (("HOT", hot), ("BROADCAST_ROWS", 10**9)):
+        monkeypatch.setattr(j, name, value)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in j.near_duplicates(documents(pairs)).collect()} == near_by_hand(pairs, 3, 90)
+
+
+def test_partners_by_size(spark):
+    rows = [(g, 10 * g + k, size, 0, cool) for cool in (0, 1) for g, sizes in ((1 + 5 * cool, (100, 91, 50)), (2 + 5 * cool, (7,)), (3 + 5 * cool, (100, 80))) for k, size in enumerate(sizes)]
+    grams = spark.createDataFrame(rows, "gram bigint, rep bigint, n bigint, at int, cool int")
+    kept = {(r.gram, r.n) for r in j.with_partner(grams, len(rows), 90).collect()}
+    assert kept == {(1, 100), (1, 91), (1, 50), (3, 100), (3, 80), (6, 100), (6, 91)}
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.sets(st.integers(0, 40)), st.sets(st.integers(0, 40)), st.integers(0, 20))
 def test_suffix_filter_bounds_the_difference(x, y, allowed):

@@ -21,8 +21,9 @@
    largest component against all of its rows. No link between components is lost, and a group of m near copies costs
    about m pairs, not m squared, but for members that are linked with nothing.
 
-A hot n-gram is never one task's: its hubs and counts are aggregates, which go back to its rows by broadcast where it
-has many, and the last join deals its rows over parts of `SPLIT`.
+A hot n-gram is never one task's: the sketch bounds an n-gram's rows from above, and only those of few rows are
+gathered, to drop the rows without a partner of about their size; for the others, and for hubs, counts are aggregates,
+which go back to an n-gram's rows by broadcast where it has many; the last join deals its rows over parts of `SPLIT`.
 
 Defined cases: a text with fewer words than n is one n-gram, the whole sequence; a null or empty text, or one
 without words, has the empty set and links with nothing; a very long text is one set, read whole; of hubs and seeds
@@ -42,7 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.llm import wordhash
-from weftline.llm.common import BROADCAST_ROWS, attached, checkpoint, components, joined_back, map_batches
+from weftline.llm.common import BROADCAST_ROWS, HOT, attached, checkpoint, components, joined_back, map_batches
 
 CELLS, SLICES = 1 << 23, 256
 #: Partners of a document in the first round.
@@ -104,6 +105,16 @@ def sets_and_sketch(docs: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, n bigint, k1 bigint, k2 bigint, slice int, salt int, counts binary")
 
 
+def step_of(total: float) -> float:
+    """A sixteenth of the chance deviation of a cell's count, of `total` in all cells."""
+    return max(1.0, (total / CELLS) ** 0.5 / 16)
+
+
+def hot_step(total: float) -> int:
+    """The step from which an n-gram may have more rows than one task should take: `HOT`, or a 200,000th of `total`."""
+    return int(min(max(HOT, total / max(BROADCAST_ROWS, 1)) / step_of(total), np.iinfo(np.uint16).max))
+
+
 def rarity(sketch: DataFrame) -> np.ndarray:
     """Each cell's count, in steps of a sixteenth of its chance deviation: what n-grams are ordered by."""
 
@@ -121,8 +132,7 @@ def rarity(sketch: DataFrame) -> np.ndarray:
     first = sketch.repartition("slice", "salt").select("slice", "counts").mapInArrow(summed, "slice int, counts binary")
     last = first.repartition("slice").mapInArrow(summed, "slice int, counts binary")
     parts = {r["slice"]: bytes(r["counts"]) for r in last.collect()}  # SLICES rows of CELLS / SLICES counters
-    mean = sum(float(np.frombuffer(zlib.decompress(p), dtype=np.uint64).sum()) for p in parts.values()) / CELLS
-    step = max(1.0, mean**0.5 / 16)
+    step = step_of(sum(float(np.frombuffer(zlib.decompress(p), dtype=np.uint64).sum()) for p in parts.values()))
     out = np.zeros(CELLS, dtype=np.uint16)
     for k, part in parts.items():
         counts = np.frombuffer(zlib.decompress(part), dtype=np.uint64)
@@ -130,20 +140,23 @@ def rarity(sketch: DataFrame) -> np.ndarray:
     return out
 
 
-def prefixes(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
-    """(doc_id, n, prefix, ranges): the rarest n-grams of each set, and the parity of its counts by range of the hash."""
+def prefixes(docs: DataFrame, order, hot: int, n: int, percent: int) -> DataFrame:
+    """(doc_id, n, prefix, cool, ranges): the rarest n-grams of each set, how many of them, the first ones, stand under
+    the step `hot`, and the parity of the set's counts by range of the hash."""
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(order)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        ids, sizes, firsts, ranges = [], [], [], []
+        ids, sizes, firsts, cool, ranges = [], [], [], [], []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             own = shingles(text, n)
             if not len(own):
                 continue
             size = len(own)
             length = size - -(-size * percent // 100) + 1
-            rank = np.argsort(shared.value[cell(own)], kind="stable")[:length]
+            steps = shared.value[cell(own)]
+            rank = np.argsort(steps, kind="stable")[:length]
+            cool.append(int((steps[rank] < hot).sum()))
             ids.append(doc)
             sizes.append(size)
             firsts.append(own[rank].view(np.int64))
@@ -151,11 +164,11 @@ def prefixes(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
             ranges.append(np.packbits((counts % 2).astype(np.uint8), bitorder="little").view(np.int64))
         if not ids:
             return None
-        arrays = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(firsts, pa.list_(pa.int64())), pa.array(ranges, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "prefix", "ranges"])
+        arrays = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(firsts, pa.list_(pa.int64())), pa.array(cool, pa.int32()), pa.array(ranges, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "prefix", "cool", "ranges"])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
-    return map_batches(rows, work, "doc_id bigint, n bigint, prefix array<bigint>, ranges array<bigint>")
+    return map_batches(rows, work, "doc_id bigint, n bigint, prefix array<bigint>, cool int, ranges array<bigint>")
 
 
 def sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
@@ -171,6 +184,21 @@ def sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     return map_batches(rows, work, "doc_id bigint, grams array<bigint>")
 
 
+def with_partner(grams: DataFrame, total: int, percent: int) -> DataFrame:
+    """The rows (gram, rep, n, at) of `grams` that may have a partner under their n-gram.
+
+    N-grams of few rows take the length filter here, in the one shuffle that tells which n-grams are shared: if
+    neither the next smaller nor the next larger set is of about a row's size, no other is. N-grams of many rows
+    are counted, and joined back where they are shared.
+    """
+    of_size = Window.partitionBy("gram").orderBy("n")
+    cool = grams.where("at < cool").select("gram", "rep", "n", "at", F.lag("n").over(of_size).alias("less"), F.lead("n").over(of_size).alias("more"))
+    cool = cool.where((F.col("less") * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.col("more") * percent))
+    rows = grams.where("at >= cool")
+    met = checkpoint(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1"))
+    return cool.select("gram", "rep", "n", "at").unionByName(joined_back(rows, met, ["gram"], total, "members").select("gram", "rep", "n", "at"))
+
+
 def filtered(pairs: DataFrame, percent: int) -> DataFrame:
     """Length and positional filter on pairs (a, na, pa, b, nb, pb) that share the n-gram at pa and pb.
 
@@ -239,16 +267,14 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     copies = joined_back(told, classes.where("members > 1"), ["k1", "k2"], rows_told, "members").where("doc_id != rep").select("doc_id").distinct()
     copies = checkpoint(copies.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"))
     copies = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
+    hot = hot_step(float(told.agg(F.sum("n")).first()[0] or 0))
     order = rarity(scanned.where("slice is not null").select("slice", "salt", "counts"))
-    firsts = checkpoint(prefixes(docs, order, n, percent).join(copies, "doc_id", "left_anti"))
+    firsts = checkpoint(prefixes(docs, order, hot, n, percent).join(copies, "doc_id", "left_anti"))
     counts = firsts.select("doc_id", "n", "ranges")
-    grams = firsts.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "n", F.posexplode("prefix").alias("at", "gram"))
+    grams = firsts.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "n", "cool", F.posexplode("prefix").alias("at", "gram"))
     total = firsts.agg(F.sum(F.size("prefix"))).first()[0] or 0
 
-    met = checkpoint(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1"))
-    few = met.count() <= BROADCAST_ROWS
-    shared = grams.join(F.broadcast(met), "gram") if few else joined_back(grams, met, ["gram"], total, "members")
-    shared = checkpoint(shared.select("gram", "rep", "n", "at"))
+    shared = checkpoint(with_partner(grams, total, percent))
     length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     alone = checkpoint(shared.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("met")).select("rep", (length - F.col("met")).alias("u")))
     shared = checkpoint(attached(shared, alone, ["rep"]).select("gram", "rep", "n", "at", "u"))
@@ -258,7 +284,7 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     hubs = hubs.groupBy("gram").agg(F.min("hub").alias("best"), F.collect_list(F.struct("class", "hub")).alias("hubs"), F.sum("members").alias("members"))
     hubs = checkpoint(hubs)
     own = F.filter("hubs", lambda h: h["class"] == F.col("class"))
-    pairs = (sized.join(F.broadcast(hubs), "gram") if few else joined_back(sized, hubs, ["gram"], total, "members")).select(
+    pairs = (sized.join(F.broadcast(hubs), "gram") if hubs.count() <= BROADCAST_ROWS else joined_back(sized, hubs, ["gram"], total, "members")).select(
         F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.explode(F.array_distinct(F.array("best", own[0]["hub"]))).alias("h")
     )
     pairs = pairs.select("a", "na", "pa", F.col("h.rep").alias("b"), F.col("h.n").alias("nb"), F.col("h.at").alias("pb"))
