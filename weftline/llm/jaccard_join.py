@@ -22,8 +22,8 @@
    about m pairs, not m squared, but for members that are linked with nothing.
 
 A hot n-gram is never one task's: the sketch bounds an n-gram's rows from above, and only those of few rows are
-gathered, to drop the rows without a partner of about their size; for the others, and for hubs, counts are aggregates,
-which go back to an n-gram's rows by broadcast where it has many; the last join deals its rows over parts of `SPLIT`.
+gathered, for hubs and components and to drop the rows without a partner of about their size. What the others need are
+aggregates, which go back to an n-gram's rows by broadcast where it has many. The last join deals rows to parts of `SPLIT`.
 
 Defined cases: a text with fewer words than n is one n-gram, the whole sequence; a null or empty text, or one
 without words, has the empty set and links with nothing; a very long text is one set, read whole; of hubs and seeds
@@ -185,7 +185,7 @@ def sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
 
 
 def with_partner(grams: DataFrame, total: int, percent: int) -> DataFrame:
-    """The rows (gram, rep, n, at) of `grams` that may have a partner under their n-gram.
+    """The rows (gram, rep, n, at, few) of `grams` that may have a partner under their n-gram, which has few rows or many.
 
     N-grams of few rows take the length filter here, in the one shuffle that tells which n-grams are shared: if
     neither the next smaller nor the next larger set is of about a row's size, no other is. N-grams of many rows
@@ -196,7 +196,35 @@ def with_partner(grams: DataFrame, total: int, percent: int) -> DataFrame:
     cool = cool.where((F.col("less") * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.col("more") * percent))
     rows = grams.where("at >= cool")
     met = checkpoint(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1"))
-    return cool.select("gram", "rep", "n", "at").unionByName(joined_back(rows, met, ["gram"], total, "members").select("gram", "rep", "n", "at"))
+    rows = joined_back(rows, met, ["gram"], total, "members").select("gram", "rep", "n", "at", F.lit(False).alias("few"))
+    return cool.select("gram", "rep", "n", "at", F.lit(True).alias("few")).unionByName(rows)
+
+
+def with_hubs(rows: DataFrame, total: int) -> DataFrame:
+    """(a, na, pa, best, own): each of `rows` (gram, rep, n, at, u, few, class) with its n-gram's hub of all and of its class."""
+    row, left = F.struct("u", "n", "rep", "at"), [F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa")]
+    least = {"best": Window.partitionBy("gram"), "own": Window.partitionBy("gram", "class")}
+    calm = rows.where("few").select(*left, *(F.min(row).over(w).alias(c) for c, w in least.items()))
+    rows = rows.where("not few")
+    hubs = rows.groupBy("gram", "class").agg(F.min(row).alias("hub"), F.count(F.lit(1)).alias("members"))
+    hubs = checkpoint(hubs.groupBy("gram").agg(F.min("hub").alias("best"), F.collect_list(F.struct("class", "hub")).alias("hubs"), F.sum("members").alias("members")))
+    own = F.filter("hubs", lambda h: h["class"] == F.col("class"))[0]["hub"].alias("own")
+    return calm.unionByName(joined_back(rows, hubs, ["gram"], total, "members").select(*left, "best", own))
+
+
+def undecided(rows: DataFrame, total: int) -> DataFrame:
+    """Those of `rows` (gram, rep, n, at, component, few) whose n-gram has several components, with the `largest` of
+    them and the n-gram's number of rows, `members`."""
+    out = ["gram", "rep", "n", "at", "component", "largest", "members"]
+    gram, number = Window.partitionBy("gram"), F.count(F.lit(1))
+    calm = rows.where("few").withColumn("size", number.over(Window.partitionBy("gram", "component")))
+    calm = calm.withColumns({"members": number.over(gram), "top": F.max(F.struct("size", (-F.col("component")).alias("minus"))).over(gram)})
+    calm = calm.where("size < members").withColumn("largest", -F.col("top.minus"))
+    rows = rows.where("not few")
+    sizes = rows.groupBy("gram", "component").agg(number.alias("size"))
+    largest = F.max_by("component", F.struct("size", -F.col("component"))).alias("largest")
+    mixed = checkpoint(sizes.groupBy("gram").agg(largest, number.alias("parts"), F.sum("size").alias("members")).where("parts > 1").drop("parts"))
+    return calm.select(out).unionByName(joined_back(rows, mixed, ["gram"], total, "members").select(out))
 
 
 def filtered(pairs: DataFrame, percent: int) -> DataFrame:
@@ -277,16 +305,9 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     shared = checkpoint(with_partner(grams, total, percent))
     length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     alone = checkpoint(shared.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("met")).select("rep", (length - F.col("met")).alias("u")))
-    shared = checkpoint(attached(shared, alone, ["rep"]).select("gram", "rep", "n", "at", "u"))
+    shared = checkpoint(attached(shared, alone, ["rep"]).select("gram", "rep", "n", "at", "u", "few"))
     sized = shared.withColumn("class", F.floor(F.log("n") / F.log(F.lit(2 - percent / 100 + 0.01))).cast("int"))
-    hub = F.min(F.struct("u", "n", "rep", "at")).alias("hub")
-    hubs = sized.groupBy("gram", "class").agg(hub, F.count(F.lit(1)).alias("members"))
-    hubs = hubs.groupBy("gram").agg(F.min("hub").alias("best"), F.collect_list(F.struct("class", "hub")).alias("hubs"), F.sum("members").alias("members"))
-    hubs = checkpoint(hubs)
-    own = F.filter("hubs", lambda h: h["class"] == F.col("class"))
-    pairs = (sized.join(F.broadcast(hubs), "gram") if hubs.count() <= BROADCAST_ROWS else joined_back(sized, hubs, ["gram"], total, "members")).select(
-        F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.explode(F.array_distinct(F.array("best", own[0]["hub"]))).alias("h")
-    )
+    pairs = with_hubs(sized, total).select("a", "na", "pa", F.explode(F.array_distinct(F.array("best", "own"))).alias("h"))
     pairs = pairs.select("a", "na", "pa", F.col("h.rep").alias("b"), F.col("h.n").alias("nb"), F.col("h.at").alias("pb"))
     most = Window.partitionBy("a").orderBy(F.desc("times"), "b")
     often = filtered(pairs.where("a != b"), percent).groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
@@ -295,11 +316,8 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     known = checkpoint(components(links(seeds, counts, docs, n, percent)))
 
     rows = attached(shared, known.select(F.col("node").alias("rep"), "component"), ["rep"], "left")
-    rows = rows.select("gram", "rep", "n", "at", F.coalesce("component", "rep").alias("component"))
-    sizes = rows.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = F.max_by("component", F.struct("size", -F.col("component"))).alias("largest")
-    mixed = checkpoint(sizes.groupBy("gram").agg(largest, F.count(F.lit(1)).alias("parts"), F.sum("size").alias("members")).where("parts > 1").drop("parts"))
-    open_rows = rows.join(F.broadcast(mixed), "gram") if mixed.count() <= BROADCAST_ROWS else joined_back(rows, mixed, ["gram"], total, "members")
+    rows = rows.select("gram", "rep", "n", "at", F.coalesce("component", "rep").alias("component"), "few")
+    open_rows = undecided(rows, total)
     open_rows = open_rows.withColumn("parts", F.ceil(F.col("members") / SPLIT))
     open_rows = checkpoint(open_rows.join(counts.select(F.col("doc_id").alias("rep"), "ranges"), "rep"))
     part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")
