@@ -128,13 +128,13 @@ def key_arrays(target: bool) -> list[Column]:
     return [F.when(named, k).otherwise(none) for k in by_name] + by_address
 
 
-def exploded(records: DataFrame, target: bool) -> DataFrame:
-    """(entity_id, ord, chunk, country, channel, pos, key): one row for each occurrence of a key."""
+def exploded(records: DataFrame, target: bool, only: tuple[int, ...] | None = None) -> DataFrame:
+    """(entity_id, ord, chunk, country, channel, pos, key): one row for each occurrence of a key, of all or some channels."""
 
     def filed(channel: int, found: Column) -> Column:
         return F.transform(found, lambda x, i: F.struct(F.lit(channel).alias("channel"), i.alias("pos"), x.alias("key")))
 
-    arrays = [filed(n + 1, k) for n, k in enumerate(key_arrays(target))]
+    arrays = [filed(n + 1, k) for n, k in enumerate(key_arrays(target)) if only is None or n + 1 in only]
     rows = parsed(records).select("entity_id", "ord", "chunk", "country", F.explode(F.concat(*arrays)).alias("k"))
     return rows.select("entity_id", "ord", "chunk", "country", "k.channel", "k.pos", "k.key")
 
@@ -171,9 +171,9 @@ def bounds(config: BlockingConfig) -> tuple[Column, Column]:
     return bound, weight
 
 
-def postings(targets: DataFrame, config: BlockingConfig = BlockingConfig()) -> DataFrame:
+def postings(targets: DataFrame, config: BlockingConfig = BlockingConfig(), only: tuple[int, ...] | None = None) -> DataFrame:
     """(country, chunk, channel, key, target_id, rk): the first targets of each key, in source order."""
-    rows = exploded(chunked(targets, config.chunk_size), True)
+    rows = exploded(chunked(targets, config.chunk_size), True, only)
     bound, _ = bounds(config)
     order = Window.partitionBy("country", "chunk", "channel", "key").orderBy("ord", "pos")
     ranked = rows.withColumn("rk", F.row_number().over(order)).where((F.col("rk") <= MOST_POSTINGS) & (F.col("rk") <= bound))
@@ -182,10 +182,8 @@ def postings(targets: DataFrame, config: BlockingConfig = BlockingConfig()) -> D
 
 def hits(records: DataFrame, config: BlockingConfig = BlockingConfig(), only: tuple[int, ...] | None = None) -> DataFrame:
     """(s1_id, target_id, chunk, channel, pos, rk, weight): every vote that is cast, of all or some channels."""
-    lists = postings(records.where("src <> 1"), config)
-    queries = exploded(records.where("src = 1"), False).select(F.col("entity_id").alias("s1_id"), "country", "channel", "key", "pos")
-    if only:
-        lists, queries = lists.where(F.col("channel").isin(*only)), queries.where(F.col("channel").isin(*only))
+    lists = postings(records.where("src <> 1"), config, only)
+    queries = exploded(records.where("src = 1"), False, only).select(F.col("entity_id").alias("s1_id"), "country", "channel", "key", "pos")
     _, weight = bounds(config)
     return queries.join(lists, ["country", "channel", "key"]).select("s1_id", "target_id", "chunk", "channel", "pos", "rk", weight.alias("weight"))
 

@@ -41,7 +41,9 @@ class Linker:
         return Blocker(config).candidates(records)
 
     def features(self, pairs: DataFrame, records: DataFrame) -> DataFrame:
-        return pair_features(pairs.select("s1_id", "target_id"), records)
+        """Features of `pairs`, which should be stored: they are read twice, so that profiles are made of their records alone."""
+        needed = pairs.select(F.explode(F.array("s1_id", "target_id")).alias("entity_id"))
+        return pair_features(pairs.select("s1_id", "target_id"), records.join(needed, "entity_id", "left_semi"))
 
     def fit(self, records: DataFrame, entities: DataFrame, links: DataFrame, store: str | None = None) -> dict:
         """Train on all candidate pairs, choose the threshold on the last fold, and score the other folds with it.
