@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from weftline import queries
 from weftline.operators import blocking, features, metrics, profiling, threshold, validation
 from weftline.operators.models import EntityClassifier, balanced_folds
 from weftline.plans.linker import Linker
@@ -166,6 +167,16 @@ def test_models_and_inference(spark, tmp_path):
         EntityClassifier().predict_proba(pairs)
 
 
+def test_folds_are_dealt_before_there_are_features(spark):
+    scored = queries.model_scores(spark, "/root/testdata/sf0.001")
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()  # no fold moves features
+    pairs = queries.block_topk(spark, "/root/testdata/sf0.001").select("s1_id", "target_id").cache()
+    folds = {r.s1_id: r.fold for r in balanced_folds(pairs, 5).collect()}
+    rows = scored.collect()
+    assert sorted((r.s1_id, r.target_id) for r in rows) == sorted(map(tuple, pairs.collect()))
+    assert all(r.fold == folds[r.s1_id] and r.holdout == (r.fold == 4) for r in rows) and set(folds.values()) == set(range(5))
+
+
 def test_validation(spark, folder, tmp_path):
     good = [f"{k}\t{','.join(v)}" for k, v in TRUTH.items()]
 
