@@ -39,6 +39,11 @@ def test_special_strings_and_memory(tokenizer, monkeypatch):
     assert len(words) <= 3
 
 
+def test_best_fit_fills_a_sequence_before_the_next():
+    slots = p.plan({7: 50, 38: 4, 13: 4}, 64)
+    assert max(first + n for _, _, n, first, _ in slots) == 9
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 60), max_size=12))
 def test_plan(histogram):

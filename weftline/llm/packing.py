@@ -126,10 +126,13 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
                 first, n = runs[room].pop()
                 if not runs[room]:
                     del rooms[k]
-                taken = min(n, left)
-                slots.append((length, rank, taken, first, capacity - room))
+                layers = room // length  # best fit fills a sequence before it takes the next of the same room
+                taken = min(n, left // layers) or 1
+                layers = min(layers, left)
+                slots += [(length, rank + k * taken, taken, first, capacity - room + k * length) for k in range(layers)]
                 keep(room, first + taken, n - taken)
-                keep(room - length, first, taken)
+                keep(room - layers * length, first, taken)
+                taken *= layers
             else:  # as many full new sequences as this length makes, or one for what is left of it
                 layers = capacity // length
                 n = left // layers or 1
