@@ -39,6 +39,13 @@ def test_special_strings_and_memory(tokenizer, monkeypatch):
     assert len(words) <= 3
 
 
+def test_workers_forget_the_words_of_a_task(spark, documents):
+    docs = documents(["some words of a task", "words of a task"] * 20).coalesce(1)
+    p.pieces(docs, PATH).collect()
+    left = docs.coalesce(1).rdd.mapPartitions(lambda rows: [len(p.word_ids(PATH)) + len(p.word_ids(PATH).once)]).collect()
+    assert left == [0]
+
+
 def test_best_fit_fills_a_sequence_before_the_next():
     slots = p.plan({7: 50, 38: 4, 13: 4}, 64)
     assert max(first + n for _, _, n, first, _ in slots) == 9

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import wordhash
-from weftline.llm.common import BROADCAST_ROWS, attached, checkpoint, fresh, map_batches
+from weftline.llm.common import BROADCAST_ROWS, attached, checkpoint, fresh, let_go, map_batches
 
 #: Words of a seed and of the shortest tile.
 LEAST_MATCH = 5
@@ -66,6 +66,10 @@ class Hashes(dict):
 KNOWN = Hashes()
 
 
+def forget() -> None:
+    KNOWN.clear()
+
+
 def values_of(text: str | None) -> np.ndarray:
     words = (text or "").split()
     values = np.fromiter(map(KNOWN.__getitem__, words), dtype=np.uint64, count=len(words))
@@ -165,7 +169,7 @@ def item_seeds(items: DataFrame, coverage: float) -> DataFrame:
                     column += value
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names) if columns[0] else None
 
-    return map_batches(items.select("i1", "i2", "text"), work, "i1 bigint, i2 bigint, seed bigint, times int, need int, words int")
+    return map_batches(items.select("i1", "i2", "text"), work, "i1 bigint, i2 bigint, seed bigint, times int, need int, words int", done=forget)
 
 
 def seed_filter(seeds: DataFrame) -> np.ndarray:
@@ -201,7 +205,7 @@ def candidates(docs: DataFrame, held: np.ndarray, lengths: list[int]) -> DataFra
 
     d1, d2 = digest("text")
     rows = docs.select(d1.alias("d1"), d2.alias("d2"), "text")
-    return map_batches(rows, work, "d1 bigint, d2 bigint, text string, seeds array<bigint>").dropDuplicates(["d1", "d2"])
+    return map_batches(rows, work, "d1 bigint, d2 bigint, text string, seeds array<bigint>", done=forget).dropDuplicates(["d1", "d2"])
 
 
 def tiled(pairs: DataFrame, coverage: float) -> DataFrame:
@@ -222,6 +226,8 @@ def tiled(pairs: DataFrame, coverage: float) -> DataFrame:
                     rows.append((*key, n, words, len(own), words / len(own)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+        forget()
+        let_go()
 
     schema = "d1 bigint, d2 bigint, i1 bigint, i2 bigint, n_tiles int, n_covered int, n_item_words int, coverage double"
     return pairs.select("d1", "d2", "i1", "i2", "text", "item").mapInArrow(run, schema)

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.llm import wordhash
-from weftline.llm.common import BROADCAST_ROWS, HOT, attached, checkpoint, components, joined_back, map_batches
+from weftline.llm.common import BROADCAST_ROWS, HOT, attached, checkpoint, components, joined_back, let_go, map_batches
 
 CELLS, SLICES = 1 << 23, 256
 #: Partners of a document in the first round.
@@ -100,6 +100,8 @@ def sets_and_sketch(docs: DataFrame, n: int) -> DataFrame:
             parts = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, SLICES)]
             ids = pa.nulls(SLICES, pa.int64())
             yield pa.RecordBatch.from_arrays([ids, ids, ids, ids, pa.array(range(SLICES), pa.int32()), pa.array([salt % SUMMED] * SLICES, pa.int32()), pa.array(parts, pa.binary())], names=names)
+        del counts
+        let_go()
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
     return rows.mapInArrow(run, "doc_id bigint, n bigint, k1 bigint, k2 bigint, slice int, salt int, counts binary")
@@ -128,6 +130,8 @@ def rarity(sketch: DataFrame) -> np.ndarray:
                 totals.setdefault(k, np.zeros(size, dtype=np.uint64))[:] += raw.view(np.uint64 if len(raw) == 8 * size else np.uint32)
         for k, total in totals.items():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["slice", "counts"])
+        totals.clear()
+        let_go()
 
     first = sketch.repartition("slice", "salt").select("slice", "counts").mapInArrow(summed, "slice int, counts binary")
     last = first.repartition("slice").mapInArrow(summed, "slice int, counts binary")

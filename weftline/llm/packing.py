@@ -72,6 +72,10 @@ class WordIds(dict):
             self.once[word] = ids
         return ids
 
+    def forget(self) -> None:
+        self.clear()
+        self.once.clear()
+
     def encode(self, text: str) -> bytes:
         if text.isascii() or ("\u03a3" not in text and unicodedata.is_normalized("NFC", text)):
             text = text.lower()
@@ -81,7 +85,7 @@ class WordIds(dict):
 
 @lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:
-    """One memory for all tasks of a worker."""
+    """One tokenizer for all tasks of a worker; words are remembered for one task."""
     return WordIds(path)
 
 
@@ -98,7 +102,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), work, SEQUENCE_SCHEMA)
+    return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), work, SEQUENCE_SCHEMA, done=lambda: word_ids(tokenizer_path).forget())
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
