@@ -40,6 +40,41 @@ def test_special_strings_and_memory(tokenizer, monkeypatch):
     assert len(words) <= 3
 
 
+@pytest.mark.parametrize("text", ["H\u0331 T\u0308.", "j\u030c", "<|ENDOFTEXT|> <|EndOfText|>x", "", " ", " a\x0b\x0cb\x1fc\x85d\u2003e ", "\U0001f600\ufb01 ' '' 's'T'Re'xs' 12a3 --<--|>"])
+def test_marks_and_special_tokens_are_left_to_the_tokenizer(tokenizer, text):
+    ids = p.word_ids(PATH).encode(text)
+    assert [int.from_bytes(ids[k : k + 4], "little") for k in range(0, len(ids), 4)] == whole(tokenizer, text)
+
+
+def test_every_latin_character(tokenizer):
+    text = " ".join(f"{c} x{c}Y {c}{c}7 .{c}'s" for c in map(chr, range(0x21, 0x250)))
+    ids = p.word_ids(PATH).encode(text)
+    assert [int.from_bytes(ids[k : k + 4], "little") for k in range(0, len(ids), 4)] == whole(tokenizer, text)
+
+
+def test_plain_words_ask_for_their_distinct_parts_merges_alone(tokenizer):
+    class Merges:
+        def __init__(self):
+            self.asked, self.tokenize = [], lambda part: self.asked.append(part) or tokenizer.model.tokenize(part)
+
+    words = p.WordIds(PATH)
+    assert words.parts
+    words.tokenizer, words.merges = None, Merges()
+    texts = ["Plain, PLAIN words; plain42!", None, "\u00c9t\u00e9 (words)"]
+    ids, ends = words.of(pa.array(texts))
+    assert ids.tolist() == [i for text in texts for i in whole(tokenizer, text or "")]
+    assert ends.tolist() == [len(ids[:e]) for e in ends] and len(ends) == 3
+    assert len(words.merges.asked) == len(set(words.merges.asked)) == 10  # plain , words ; 4 2 ! ( ) and one with accents
+
+
+def test_groups_of_rows(monkeypatch):
+    monkeypatch.setattr(p, "GROUP_BYTES", 10)
+    texts = ["four", None, "five5", "x" * 35, "", "four", "four"]
+    found = list(p.groups(pa.array(texts)))
+    assert [first for first, _ in found] == [sum(n for _, n in found[:k]) for k in range(len(found))] and sum(n for _, n in found) == len(texts)
+    assert all(sum(len(t or "") for t in texts[first + 1 : first + n]) < 10 for first, n in found)
+
+
 def test_workers_forget_the_words_of_a_task(spark):
     class Docs:  # gives the function of a task itself
         def select(self, *columns):

@@ -38,7 +38,7 @@ def let_go() -> None:
         trim(0)
 
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType, setup: Callable[[], None] | None = None, done: Callable[[], object] | None = None) -> DataFrame:
+def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType, setup: Callable[[], None] | None = None, done: Callable[[], object] | None = None, rows: int = BATCH_ROWS) -> DataFrame:
     """Run `work` on slices of each Arrow batch. Python holds one slice's values; a lost task is run again.
 
     `done` is called when a task ends, to drop what it has remembered: workers are used again by other operators.
@@ -49,8 +49,8 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
             setup()
         try:
             for batch in batches:
-                for at in range(0, batch.num_rows, BATCH_ROWS):
-                    out = work(batch.slice(at, BATCH_ROWS))
+                for at in range(0, batch.num_rows, rows):
+                    out = work(batch.slice(at, rows))
                     if out is not None and out.num_rows:
                         yield out
                     out = None
