@@ -101,3 +101,11 @@ def test_thresholds_by_language():
     assert toxicity.best_threshold(scores, y, weights) == pytest.approx(0.55)
     slope, intercept = labelled.platt(np.array([-2.0, -1.0, 1.0, 2.0]), np.array([0.0, 0.0, 1.0, 1.0]), weights)
     assert slope > 0 and abs(intercept) < 0.1
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_the_driver_gives_back_its_sample(monkeypatch, module):
+    asked = []
+    monkeypatch.setattr(module.labelled, "sample", lambda *tables: ([(1, "one", "en"), (2, "two", "en")], np.array([0.0, 1.0]), np.ones(2)))
+    monkeypatch.setattr(module, "let_go", lambda: asked.append(1))
+    assert module.train(None, None) is not None and asked

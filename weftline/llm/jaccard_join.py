@@ -141,6 +141,8 @@ def rarity(sketch: DataFrame) -> np.ndarray:
     for k, part in parts.items():
         counts = np.frombuffer(zlib.decompress(part), dtype=np.uint64)
         out[k * size : (k + 1) * size] = np.minimum(counts / step, np.iinfo(np.uint16).max)
+    parts.clear()
+    let_go()
     return out
 
 

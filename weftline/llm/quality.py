@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import labelled
-from weftline.llm.common import map_batches
+from weftline.llm.common import let_go, map_batches
 
 WIDTH, FILTERS, EMBEDDED = 6, 24, 8
 HALF = 256
@@ -157,7 +157,10 @@ def fit(texts: list[bytes], y: np.ndarray, weights: np.ndarray, seed: int = 0) -
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     rows, y, weights = labelled.sample(docs, labels, "quality")
-    return fit([r[1].encode("utf-8", "replace") for r in rows], y, weights)
+    model = fit([r[1].encode("utf-8", "replace") for r in rows], y, weights)
+    del rows
+    let_go()
+    return model
 
 
 def scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import labelled
-from weftline.llm.common import map_batches
+from weftline.llm.common import let_go, map_batches
 
 BUCKETS, EMBEDDED, WIDTHS, FILTERS = 1 << 15, 8, (1, 2, 3), 8
 #: Letters that stand for a word's stem.
@@ -219,7 +219,10 @@ def fit(texts: list[str], langs: list[str | None], y: np.ndarray, weights: np.nd
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     rows, y, weights = labelled.sample(docs, labels, "toxic")
-    return fit([r[1] for r in rows], [r[2] for r in rows], y, weights)
+    model = fit([r[1] for r in rows], [r[2] for r in rows], y, weights)
+    del rows
+    let_go()
+    return model
 
 
 def scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
