@@ -2,11 +2,14 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from weftline import queries
-from weftline.operators import blocking, features, metrics, profiling, threshold, validation
+from weftline.operators import blocking, features, logistic, metrics, profiling, threshold, validation
 from weftline.operators.models import EntityClassifier, balanced_folds
 from weftline.plans.linker import Linker
 from weftline.sources import tsv
@@ -177,6 +180,50 @@ def test_folds_are_dealt_before_there_are_features(spark):
     assert all(r.fold == folds[r.s1_id] and r.holdout == (r.fold == 4) for r in rows) and set(folds.values()) == set(range(5))
 
 
+def test_all_folds_are_fitted_in_the_same_passes(spark):
+    context = spark.sparkContext
+    context.setJobGroup("model_scores", "all folds")
+    rows = queries.model_scores(spark, "/root/testdata/sf0.001").collect()
+    jobs = len(context.statusTracker().getJobIdsForGroup("model_scores"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 120  # 300 and more where each fold has its own steps
+    assert rows and all(0 <= r.prob <= 1 for r in rows)
+
+
+def test_logistic_regression_reaches_the_least_loss(spark):
+    draw = np.random.default_rng(3)
+    x, truth = draw.normal(size=(3, 1200)) * [[1.0], [10.0], [0.1]], np.array([1.0, -0.1, 5.0])
+    label = (draw.random(1200) < 1 / (1 + np.exp(1 - truth @ x))).astype(float)
+    x = np.stack([*x, x[0] - x[1], np.full(1200, 7.0)])  # one that depends on others, one that doesn't vary
+    names = [f"x{k}" for k in range(5)]
+    rows = spark.createDataFrame([(f"a{k % 40}", f"b{k}", float(label[k]), k % 40 % 3, *map(float, x[:, k])) for k in range(1200)], "s1_id string, target_id string, label double, fold int, " + ", ".join(f"{c} double" for c in names)).repartition(3)
+    blocks = logistic.packed(rows, names)
+    seen = logistic.look(blocks, 5, 5)
+    assert len(seen.entities) >= 5 and sum(seen.counts.values()) == 1200
+    fitted = logistic.fit(blocks, 5, seen, 3, EntityClassifier.balanced)
+    found = {r.target_id: r for r in logistic.scores(blocks, fitted).collect()}
+    assert len(found) == 1200 and all(r.holdout == (r.fold == 2) and r.label == label[int(k[1:])] for k, r in found.items())
+    frame = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
+    for k in range(3):
+        one = float(label[np.arange(1200) % 40 % 3 != k].mean())
+        part = frame.where(F.col("fold") != k).withColumn("weight", F.when(F.col("label") == 1, 0.5 / one).otherwise(0.5 / (1 - one)))
+        theirs = LogisticRegression(maxIter=500, tol=1e-12, weightCol="weight").fit(part)
+        own = logistic.model(rows, *fitted[k])
+        for m in (theirs, own):
+            probs = {r.target_id: r.probability[1] for r in m.transform(frame.where(F.col("fold") == k)).collect()}
+            assert probs == pytest.approx({t: r.prob for t, r in found.items() if r.fold == k}, abs=1e-4)
+
+
+def test_logistic_regression_of_one_label(spark):
+    rows = spark.createDataFrame([(f"a{k}", f"b{k}", 0.0, k % 2, float(k)) for k in range(6)], "s1_id string, target_id string, label double, fold int, x double")
+    for kept, label, prob in ((rows, 0.0, 0.0), (rows.withColumn("label", F.lit(1.0)), 1.0, 1.0)):
+        blocks = logistic.packed(kept, ["x"])
+        fitted = logistic.fit(blocks, 1, logistic.look(blocks, 1, 5), 2, EntityClassifier.balanced)
+        assert {(r.label, r.prob) for r in logistic.scores(blocks, fitted).collect()} == {(label, prob)}
+    none = logistic.packed(rows.limit(0), ["x"])
+    assert logistic.scores(none, logistic.fit(none, 1, logistic.look(none, 1, 5), 2, EntityClassifier.balanced)).count() == 0
+
+
 def test_validation(spark, folder, tmp_path):
     good = [f"{k}\t{','.join(v)}" for k, v in TRUTH.items()]
 
